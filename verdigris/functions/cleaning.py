@@ -13,7 +13,7 @@ FALSE_WORDS = ["false", "f", "no", "n", "off", "0"]
 
 def to_double(text: Column) -> Column:
     """Strip double quotes, then parse; empty and unparsable text give null."""
-    return F.regexp_replace(text, '"', "").try_cast("double")
+    return F.replace(text, F.lit('"'), F.lit("")).try_cast("double")
 
 
 def to_int(text: Column) -> Column:

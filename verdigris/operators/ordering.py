@@ -58,12 +58,17 @@ def range_offsets(stored: DataFrame) -> DataFrame:
     )
 
 
+def dense_position() -> Column:
+    """Position of a stored row once the rows before its range (``_before``) are joined."""
+    return F.col("_before") + F.col(SLOT).bitwiseAND(_MASK)
+
+
 def number_rows(
     df: DataFrame, order_by: Sequence[str], name: str = "position", total: str | None = None
 ) -> DataFrame:
     """Add the dense 0-based position in ``order_by`` order, and optionally the row count."""
     stored = store_sorted(df, order_by)
-    columns = [*df.columns, (F.col("_before") + F.col(SLOT).bitwiseAND(_MASK)).alias(name)]
+    columns = [*df.columns, dense_position().alias(name)]
     if total:
         columns.append(F.col("_total").alias(total))
     return stored.join(F.broadcast(range_offsets(stored)), RANGE).select(*columns)
@@ -76,21 +81,26 @@ def in_chunks(
     position: str = "position",
     partition_by: Sequence[str] = (),
     chunk_rows: int = CHUNK_ROWS,
+    stride: int = 1,
+    strided: Callable[[WindowSpec], Sequence[Column]] | None = None,
 ) -> DataFrame:
     """Evaluate frame expressions that look back at most ``reach`` rows.
 
-    ``frames`` receives the ordered window and returns the columns to add. With
-    ``partition_by`` the frames stop at partition borders; positions must then be
-    numbered with the partition columns first in the order.
+    ``frames`` receives the ordered window and returns the columns to add. ``strided``
+    may add columns computed from those, over a window in which each row follows the one
+    ``stride`` positions before it; it reuses the exchange and only sorts again. With
+    ``partition_by`` frames stop at partition borders; positions must then be numbered
+    with the partition columns first in the order.
     """
     size = max(chunk_rows, reach, 1)
     row = F.col(position)
     own = F.floor(row / size)
     copies = F.when(row % size >= size - reach, F.array(own, own + 1)).otherwise(F.array(own))
-    window = Window.partitionBy(*partition_by, "_chunk").orderBy(position)
-    return (
-        numbered.select("*", own.alias("_own"), F.explode(copies).alias("_chunk"))
-        .select("*", *frames(window))
-        .filter(F.col("_chunk") == F.col("_own"))
-        .drop("_own", "_chunk")
-    )
+    keys = [*partition_by, "_chunk"]
+    spread = numbered.select("*", own.alias("_own"), F.explode(copies).alias("_chunk"))
+    framed = spread.select("*", *frames(Window.partitionBy(*keys).orderBy(position)))
+    if strided is not None:
+        framed = framed.withColumn("_lane", row % stride)
+        lanes = Window.partitionBy(*keys, "_lane").orderBy(position)
+        framed = framed.select("*", *strided(lanes)).drop("_lane")
+    return framed.filter(F.col("_chunk") == F.col("_own")).drop("_own", "_chunk")

@@ -137,9 +137,14 @@ def daily_environment_metrics(hourly: DataFrame) -> DataFrame:
 
 
 def daily_health_score() -> Column:
-    """Mean of the four optimality averages, two decimals."""
+    """Mean of the four optimality averages, two decimals, half up.
+
+    Averages of two-decimal shares often lie exactly on a rounding tie, where the order
+    of summation would decide. With at most 24 hours a day any other value is further
+    than ``1e-5`` from a tie, so the small term only settles ties.
+    """
     parts = [F.col(f"avg_{n}_optimality_pct") for n in ("ph", "tds", "temp", "humidity")]
-    return F.round((parts[0] + parts[1] + parts[2] + parts[3]) / 4, 2)
+    return F.round((parts[0] + parts[1] + parts[2] + parts[3]) / 4 + F.lit(1e-9), 2)
 
 
 def fct_sensor_readings(staged: DataFrame, time_dimension: DataFrame | None = None) -> DataFrame:

@@ -10,8 +10,8 @@ from verdigris.operators.ordering import (
     CHUNK_ROWS,
     RANGE,
     SLOT,
+    dense_position,
     in_chunks,
-    range_offsets,
     store_sorted,
 )
 
@@ -97,30 +97,40 @@ def inference_windows(
 
 
 def fill_gaps(
-    df: DataFrame, columns: Sequence[str], order_by: Sequence[str], default: float = 0
+    df: DataFrame,
+    columns: Sequence[str],
+    order_by: Sequence[str],
+    default: float = 0,
+    position: str | None = None,
 ) -> DataFrame:
     """Last value before, else next value after, else ``default``.
 
     Fills may reach arbitrarily far, so no halo suffices. Each sorted range is filled on
     its own; the last and first value of every range (one row per range) are carried
     over to its neighbours. A backward fill is a running fill in descending order.
+    ``position`` adds the dense row number, which the same sort provides.
     """
     stored = store_sorted(df, order_by)
+
+    def edge(pick, name: str) -> Column:
+        return pick(name, F.when(F.col(name).isNotNull(), F.col(SLOT)))
+
     edges = stored.groupBy(RANGE).agg(
-        *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(SLOT))).alias(f"_last_{c}") for c in columns],
-        *[F.min_by(c, F.when(F.col(c).isNotNull(), F.col(SLOT))).alias(f"_first_{c}") for c in columns],
+        F.count(F.lit(1)).alias("_rows"),
+        *[edge(F.max_by, name).alias(f"_last_{name}") for name in columns],
+        *[edge(F.min_by, name).alias(f"_first_{name}") for name in columns],
     )
     earlier = Window.orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
     later = Window.orderBy(F.desc(RANGE)).rowsBetween(Window.unboundedPreceding, -1)
     carried = edges.select(
         RANGE,
-        *[F.last(f"_last_{c}", True).over(earlier).alias(f"_before_{c}") for c in columns],
-        *[F.last(f"_first_{c}", True).over(later).alias(f"_after_{c}") for c in columns],
-    )
-    forward = Window.partitionBy(RANGE).orderBy(SLOT).rowsBetween(Window.unboundedPreceding, 0)
-    backward = (
-        Window.partitionBy(RANGE).orderBy(F.desc(SLOT)).rowsBetween(Window.unboundedPreceding, 0)
+        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"),
+        *[F.last(f"_last_{name}", True).over(earlier).alias(f"_before_{name}") for name in columns],
+        *[F.last(f"_first_{name}", True).over(later).alias(f"_after_{name}") for name in columns],
     )
+    running = (Window.unboundedPreceding, 0)
+    forward = Window.partitionBy(RANGE).orderBy(SLOT).rowsBetween(*running)
+    backward = Window.partitionBy(RANGE).orderBy(F.desc(SLOT)).rowsBetween(*running)
     kinds = {field.name: field.dataType for field in df.schema.fields}
 
     def filled(name: str) -> Column:
@@ -133,14 +143,14 @@ def fill_gaps(
         ).alias(name)
 
     # One carried row per sorted range: the sort's partition count bounds the broadcast.
-    return (
-        stored.select(
-            "*",
-            *[F.last(c, True).over(forward).alias(f"_ffill_{c}") for c in columns],
-            *[F.last(c, True).over(backward).alias(f"_bfill_{c}") for c in columns],
-        )
-        .join(F.broadcast(carried), RANGE)
-        .select(*[filled(name) if name in columns else F.col(name) for name in df.columns])
+    result = stored.select(
+        "*",
+        *[F.last(name, True).over(forward).alias(f"_ffill_{name}") for name in columns],
+        *[F.last(name, True).over(backward).alias(f"_bfill_{name}") for name in columns],
+    ).join(F.broadcast(carried), RANGE)
+    numbered = [dense_position().alias(position)] if position else []
+    return result.select(
+        *[filled(name) if name in columns else F.col(name) for name in df.columns], *numbered
     )
 
 
@@ -163,14 +173,3 @@ def window_weight(position: Column, windows: Column | int, length: int) -> Colum
     first = F.greatest(F.lit(0), position - (length - 1))
     last = F.least(position, count - 1)
     return F.greatest(F.lit(0), last - first + 1)
-
-
-__all__ = [
-    "chrono_split",
-    "fill_gaps",
-    "inference_windows",
-    "range_offsets",
-    "sequence_windows",
-    "split_index",
-    "window_weight",
-]

@@ -52,12 +52,17 @@ def reject_reason() -> Column:
     return reason
 
 
-def silver_validate(typed: DataFrame) -> DataFrame:
+def is_valid() -> Column:
     """Keys present, every measure missing or inside its physical range."""
     valid = F.col("id").isNotNull() & F.col("timestamp").isNotNull()
     for name in PHYSICAL_RANGES:
         valid = valid & ~_out_of_range(name)
-    return typed.filter(valid)
+    return valid
+
+
+def silver_validate(typed: DataFrame) -> DataFrame:
+    """The valid rows."""
+    return typed.filter(is_valid())
 
 
 def silver_rejects(typed: DataFrame) -> DataFrame:
@@ -65,24 +70,42 @@ def silver_rejects(typed: DataFrame) -> DataFrame:
     return typed.withColumn("reason", reject_reason()).filter(F.col("reason").isNotNull())
 
 
-def silver_dedup(valid: DataFrame) -> DataFrame:
-    """Latest ingestion per (id, timestamp).
+def _latest_first(rows: DataFrame, *before: Column) -> DataFrame:
+    """Add ``_rank``: 1 for the latest ingestion per (id, timestamp).
 
-    Full ties are broken by source and then by row content, so reruns agree. The rank
-    filter becomes a group limit that runs before the shuffle as well: a key with very
-    many copies leaves each task as one row.
+    Full ties are broken by source and then by row content, so reruns agree.
     """
     window = Window.partitionBy("id", "timestamp").orderBy(
-        F.desc("ingestion_timestamp"), F.desc("source_file"), F.desc("_content")
+        *before, F.desc("ingestion_timestamp"), F.desc("source_file"), F.desc("_content")
     )
+    content = [name for name in rows.columns if not name.startswith("_")]
     return (
-        valid.withColumn("_content", F.xxhash64(*valid.columns))
+        rows.withColumn("_content", F.xxhash64(*content))
         .withColumn("_rank", F.row_number().over(window))
-        .filter(F.col("_rank") == 1)
-        .drop("_rank", "_content")
+        .drop("_content")
     )
 
 
+def silver_dedup(valid: DataFrame) -> DataFrame:
+    """Latest ingestion per (id, timestamp).
+
+    The rank filter becomes a group limit that runs before the shuffle as well: a key
+    with very many copies leaves each task as one row.
+    """
+    return _latest_first(valid).filter(F.col("_rank") == 1).drop("_rank")
+
+
+def validate_and_dedup(typed: DataFrame) -> DataFrame:
+    """``silver_dedup(silver_validate(typed))`` with every text field parsed once.
+
+    A plain filter on parsed columns is pushed below the parsing and repeats it for each
+    comparison. Here validity is a column that ranks first: the top row of a key is valid
+    if any of its rows is, and is then the latest valid one.
+    """
+    ranked = _latest_first(typed.withColumn("_valid", is_valid()), F.desc("_valid"))
+    return ranked.filter((F.col("_rank") == 1) & F.col("_valid")).drop("_rank", "_valid")
+
+
 def build_silver(
     bronze: DataFrame,
     id_type: str = "int",
@@ -90,7 +113,7 @@ def build_silver(
     processed_at: datetime | None = None,
 ) -> DataFrame:
     """Project, validate and deduplicate; ``processed_at`` adds the processing time."""
-    silver = silver_dedup(silver_validate(silver_project(bronze, id_type, keep)))
+    silver = validate_and_dedup(silver_project(bronze, id_type, keep))
     if processed_at is not None:
         silver = silver.withColumn("silver_processed_timestamp", F.lit(processed_at))
     return silver

@@ -183,7 +183,7 @@ _table(
 _table(
     "daily",
     "select *, round((avg_ph_optimality_pct + avg_tds_optimality_pct + avg_temp_optimality_pct"
-    " + avg_humidity_optimality_pct) / 4, 2) as daily_health_score,"
+    " + avg_humidity_optimality_pct) / 4 + 1e-9, 2) as daily_health_score,"
     " round(cast(total_environment_optimal as double) / total_readings * 100, 2)"
     " as daily_environment_efficiency_pct from (select reading_date, "
     + ", ".join(f"avg(avg_{n}) as daily_avg_{n}" for n in _MEANS)

@@ -31,7 +31,6 @@ from verdigris.functions.cleaning import (
 from verdigris.operators.joins import equipment_long, equipment_usage, suboptimal_readings
 from verdigris.operators.semantic import (
     conditional_count,
-    daily_environment_metrics,
     fct_sensor_readings,
     stg_iot_data,
     stg_passthrough,
@@ -46,11 +45,10 @@ from verdigris.plans.oracle import (
     number_sql,
     onoff_sql,
     replace_rounded,
-    round_sql,
     using,
 )
 from verdigris.plans.registry import Tables, query, rounded
-from verdigris.schemas import ACTUATORS, MEASURES, NARROW_BANDS, RAW_COLUMNS
+from verdigris.schemas import ACTUATORS, NARROW_BANDS, RAW_COLUMNS
 from verdigris.session import scratch_path
 from verdigris.sources.sinks import export_csv, write_parquet
 
@@ -452,6 +450,3 @@ def _(t: Tables):
 def _(t: Tables):
     """CSV to published tables, every layer stored; rows per table."""
     return run_all_layers(t.spark, scratch_path(t.spark, "lake"), csv=_raw_csv(t))
-
-
-__all__ = ["MEASURES", "daily_environment_metrics", "round_sql"]

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import functions as F
-
 from verdigris.operators import bi
 from verdigris.operators.quality import (
     Checks,
@@ -309,6 +307,3 @@ def _(t: Tables):
             "typed": (t.typed, Checks(unique=[["id", "timestamp"]])),
         }
     )
-
-
-__all__ = ["F"]
