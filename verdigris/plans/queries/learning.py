@@ -175,9 +175,9 @@ _WEIGHT_SQL = """select *, greatest(0, least(position, cast(floor((n - 24) * 0.8
 )
 def _(t: Tables):
     """Statistics over overlapping training windows without building the windows."""
-    windows = F.floor((t.numbered.count() - 24) * F.lit(0.8))
-    weight = window_weight(F.col("position"), windows, 24)
-    return rounded(standard_stats(t.numbered, _SCALED, weight))
+    numbered = t.numbered(*_SCALED)
+    windows = F.floor((numbered.count() - 24) * F.lit(0.8))
+    return rounded(standard_stats(numbered, _SCALED, window_weight(F.col("position"), windows, 24)))
 
 
 @query(
@@ -216,9 +216,10 @@ def _(t: Tables):
 )
 def _(t: Tables):
     """The scored batch's own statistics, each row counted once per window."""
-    weight = window_weight(F.col("position"), t.numbered.count() - 24, 24)
-    stats = standard_stats(t.numbered, _SCALED, weight, sample=True)
-    rows = t.numbered.select("reading_id", "timestamp", *_SCALED)
+    numbered = t.numbered(*_SCALED)
+    weight = window_weight(F.col("position"), numbered.count() - 24, 24)
+    stats = standard_stats(numbered, _SCALED, weight, sample=True)
+    rows = numbered.select("reading_id", "timestamp", *_SCALED)
     return rounded(scale_standard(rows, _SCALED, stats, epsilon=1e-8))
 
 
@@ -326,7 +327,8 @@ _PREDICTIONS = ["lstm_prediction", "gru_prediction", "lightgbm_prediction"]
 
 def _scored(t: Tables):
     keep = ["reading_id", "timestamp", "position", LABEL]
-    windows = inference_windows(env_label(t.numbered), ["tds_level"], 24, keep=keep)
+    rows = env_label(t.numbered("tds_level", *INDICATORS))
+    windows = inference_windows(rows, ["tds_level"], 24, keep=keep)
     values = F.transform("x", lambda row: row[0].cast("double"))
     return windows.select(
         "reading_id",
@@ -374,7 +376,7 @@ def _(t: Tables):
     predictions = _scored(t).select(
         (F.col("position") - 24).alias("sample"), F.col("lstm_prediction").alias("prediction")
     )
-    joined = join_predictions(t.numbered.select("reading_id", "position"), predictions, 24)
+    joined = join_predictions(t.numbered(), predictions, 24)
     return rounded(joined.select("reading_id", "position", "prediction"))
 
 

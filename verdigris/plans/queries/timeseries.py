@@ -31,7 +31,7 @@ _KEYS = 'reading_id, "timestamp"'
 
 @query("row_number_global", using("numbered", f"select {_KEYS}, position from numbered"))
 def _(t: Tables):
-    return t.numbered.select("reading_id", "timestamp", "position")
+    return t.numbered()
 
 
 @query("lag_features", using("features", f"select {_KEYS}, {', '.join(LAG_NAMES)} from features"))
@@ -78,7 +78,7 @@ _SEQ_SQL = """select position - 24 as sample, round(first_tds + 1.3e-8, 6) as fi
 def _(t: Tables):
     """24 steps of TDS, air temperature and humidity, and the pH that follows."""
     inputs = ["tds_level", "air_temperature", "air_humidity"]
-    windows = sequence_windows(t.numbered, inputs, 24, "ph_level")
+    windows = sequence_windows(t.numbered(*inputs, "ph_level"), inputs, 24, "ph_level")
     tds = F.transform("x", lambda row: row[0])
     return rounded(
         windows.select(
@@ -103,7 +103,8 @@ def _(t: Tables):
 )
 def _(t: Tables):
     """All numeric inputs are targets, three steps ahead."""
-    windows = sequence_windows(t.numbered, ["tds_level", "air_temperature"], 12, horizon=3)
+    inputs = ["tds_level", "air_temperature"]
+    windows = sequence_windows(t.numbered(*inputs), inputs, 12, horizon=3)
     return rounded(
         windows.select(
             "sample",
@@ -125,7 +126,8 @@ def _(t: Tables):
     ),
 )
 def _(t: Tables):
-    windows = inference_windows(t.numbered, ["ph_level", "tds_level"], 24, keep=["position", "reading_id"])
+    inputs = ["ph_level", "tds_level"]
+    windows = inference_windows(t.numbered(*inputs), inputs, 24, keep=["position", "reading_id"])
     total = F.aggregate("x", F.lit(0.0), lambda a, row: a + row[0].cast("double"))
     return windows.select("position", "reading_id", "sample", F.round(total, 3).alias("sum_ph"))
 

@@ -7,7 +7,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from verdigris.operators.features import base_features, number_readings, sensor_features
+from verdigris.operators.features import ORDER, base_features, number_readings, sensor_features
 from verdigris.operators.gold import dim_equipment, dim_time, gold_fact
 from verdigris.operators.semantic import (
     daily_environment_metrics,
@@ -88,9 +88,9 @@ class Tables:
     def base(self) -> DataFrame:
         return base_features(self.fact)
 
-    @cached_property
-    def numbered(self) -> DataFrame:
-        return number_readings(self.base)
+    def numbered(self, *columns: str) -> DataFrame:
+        """Keys, the given feature columns and the position; only these are stored."""
+        return number_readings(self.base.select(*ORDER, *columns))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
