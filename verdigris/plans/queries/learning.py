@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from verdigris.operators.features import number_readings, sensor_features
+from verdigris.operators.features import ORDER, sensor_features
 from verdigris.operators.joins import join_predictions
 from verdigris.operators.metrics import (
     classification_metrics,
@@ -41,6 +41,7 @@ from verdigris.operators.models import (
 from verdigris.operators.sequences import fill_gaps, inference_windows, window_weight
 from verdigris.plans.oracle import replace_rounded, round6, round_sql, using
 from verdigris.plans.registry import Tables, query, rounded
+from verdigris.schemas import INDICATORS, MEASURES
 from verdigris.session import materialize, scratch_path
 
 _KEYS = 'reading_id, "timestamp"'
@@ -392,32 +393,25 @@ def _(t: Tables):
     return classification_metrics(scored, LABEL, "probability")
 
 
-def _gapless(t: Tables):
-    """Features without gaps, numbered in time order, and their row count."""
-    features = t.features
-    names = [n for n in feature_names(features, target="") if n not in ("reading_id",)]
-    filled = fill_gaps(features, names, ["timestamp", "reading_id"])
-    numbered = materialize(number_readings(filled), "numbered")
-    return numbered, names, numbered.count()
-
-
 @query("train_forecaster")
 def _(t: Tables):
-    """Test error of the window forecast, beside that of the training mean."""
-    numbered, names, total = _gapless(t)
-    _, tested = train_forecaster(numbered, names, total, SequenceParams(penalty=0.1))
+    """Test error of the window forecast of pH from the other measures."""
+    rows = t.base.select(*ORDER, *MEASURES)
+    series = materialize(fill_gaps(rows, MEASURES, ORDER, position="position"), "series")
+    _, tested = train_forecaster(series, MEASURES, series.count(), SequenceParams(penalty=0.1))
     return forecast_metrics(tested, "actual", "predicted")
 
 
 @query("score_batch")
 def _(t: Tables):
     """All feature rows scored by two forecasts and the trees."""
-    numbered, names, total = _gapless(t)
-    labelled = env_label(numbered)
-    trees, _ = train_trees(labelled, params=TreeParams(rounds=5))
-    first, _ = train_forecaster(numbered, names, total, SequenceParams(penalty=0.1))
-    second, _ = train_forecaster(numbered, names, total, SequenceParams(penalty=1.0, mix=0.5))
-    scored = score_batch(labelled, trees, {"lstm_prediction": first, "gru_prediction": second})
+    features = env_label(sensor_features(t.fact, position="position"))
+    series = materialize(fill_gaps(features, MEASURES, ["position"]), "series")
+    total = series.count()
+    trees, _ = train_trees(series, params=TreeParams(rounds=5))
+    first, _ = train_forecaster(series, MEASURES, total, SequenceParams(penalty=0.1))
+    second, _ = train_forecaster(series, MEASURES, total, SequenceParams(penalty=1.0, mix=0.5))
+    scored = score_batch(series, trees, {"lstm_prediction": first, "gru_prediction": second})
     return scored.drop("inference_timestamp")
 
 
@@ -439,6 +433,3 @@ def _(t: Tables):
     for step in (1, 2):
         metrics_long(metrics, "persistence", step).write.mode("append").parquet(path)
     return rounded(t.spark.read.parquet(path))
-
-
-__all__ = ["sensor_features"]
