@@ -172,12 +172,6 @@ def test_class_weights_only_when_rare(spark, positive, weighted):
     assert found == pytest.approx(want)
 
 
-def test_fixed_vector_has_thirty_features():
-    vector = [0, 0, 0, 0, 1, 6.0, 1000, 22.5, 60.0, 6.0, 6.0, 6.2, 5.8, 1000, 1000, 1100, 900, 22.5, 22.5, 23.0, 22.0,
-              60.0, 60.0, 65.0, 55.0, 20.0, 20.0, 70.0, 20.0, 0.0]
-    assert len(vector) == 30
-
-
 @pytest.fixture(scope="module")
 def wave(spark):
     """A learnable series: a sine with a phase-shifted companion and a label."""
