@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from verdigris.llm import decontaminate, language_id, mixing, sharding, simhash
+from verdigris.llm import (
+    decontaminate,
+    html_extract,
+    language_id,
+    mixing,
+    mtree,
+    pu_quality,
+    sharding,
+    simhash,
+    toxicity,
+    url_reputation,
+)
 from verdigris.llm.common import fold, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +34,15 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op1_url_reputation", url_reputation.filter_sql())
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    """A page's outcome is the quality label of the document with its id."""
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    outcomes = table(spark, folder, "labels").select(F.col("doc_id").alias("page_id"), F.col("quality").alias("good"))
+    judged = url_reputation.filter_urls(pages, outcomes)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 @query("op2_decontaminate")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -42,12 +62,42 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op4_html_text")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url", "html")
+    return html_extract.extract(pages).select("page_id", "url", "text", "n_chars")
+
+
 @query("op5_simhash")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     linked = simhash.near_duplicates(table(spark, folder, "documents"))
     return linked.select("doc_id", simhash.fingerprint_text(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def _scored(scores: DataFrame, held_out) -> DataFrame:
+    """(key, score) as doc_id, held_out, score and predicted."""
+    return scores.select(
+        F.col("key").alias("doc_id"),
+        held_out.alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"),
+    )
+
+
+@query("op6_toxicity")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select(F.col("doc_id").alias("key"), "text")
+    labels = table(spark, folder, "labels").select(F.col("doc_id").alias("key"), F.col("toxic").alias("label"))
+    held_out = fold("key", 5) == 0
+    return _scored(toxicity.score_toxicity(docs, labels.filter(~held_out)), held_out)
+
+
+@query("op7_mtree_topk")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    return mtree.top_products(vectors, F.col("vec_id") % 50 == 0, 5)
+
+
 @query("op8_feistel_sharding")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     sized = sharding.describe(table(spark, folder, "documents"))
@@ -75,3 +125,12 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("size") * F.col("copies")).alias("taken"),
         "copies",
     )
+
+
+@query("op10_pu_quality")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select(F.col("doc_id").alias("key"), "text")
+    labels = table(spark, folder, "labels").select(F.col("doc_id").alias("key"), "quality")
+    held_out = fold("key", 3) == 1
+    positives = labels.filter(~held_out & (F.col("quality") == 1)).select("key")
+    return _scored(pu_quality.score_quality(docs, positives), held_out)
