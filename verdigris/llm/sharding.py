@@ -67,18 +67,20 @@ def shard_rows(
     outputs: tuple[str, str] = ("shard", "slot"),
 ) -> DataFrame:
     """Add ``shard`` and ``slot`` (replacing columns of that name)."""
-    tie, position, total, place = unused(df, "_tie", "_position", "_total", "_place")
-    order = [*order_by, tie]
+    # Rows travel as one struct, so that none of their columns can clash with a working column.
+    keys = {f"key{i}": F.col(f"`{c}`") for i, c in enumerate(order_by)}
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
     # The tie-break splits a row that repeats very often over several ranges.
-    numbered = number_rows(df.withColumn(tie, F.monotonically_increasing_id()), order, position)
+    packed = df.select(row, *[c.alias(k) for k, c in keys.items()], F.monotonically_increasing_id().alias("tie"))
+    numbered = number_rows(packed, [*keys, "tie"], "position")
     n = df.count()
-    placed = numbered.withColumn(place, permute(F.col(position), n, seed))
+    placed = numbered.withColumn("place", permute(F.col("position"), n, seed))
     names = {o.lower() for o in outputs}
-    kept = [F.col(f"`{c}`") for c in df.columns if c.lower() not in names]
+    kept = [F.col("row").getField(c).alias(c) for c in df.columns if c.lower() not in names]
     return placed.select(
         *kept,
-        (F.col(place) % shards).cast("int").alias(outputs[0]),
-        F.floor(F.col(place) / shards).alias(outputs[1]),
+        (F.col("place") % shards).cast("int").alias(outputs[0]),
+        F.floor(F.col("place") / shards).alias(outputs[1]),
     )
 
 
