@@ -1,7 +1,8 @@
 """Toxicity scores: gradient-boosted trees over dense features, with isotonic calibration.
 
-The labelled sample is split by a hash in three: one part teaches the lexicon, the second
-the trees, the third the calibration, so no part judges what it has learned itself.
+The labelled sample is split by a hash in three: two parts teach a lexicon each and, read
+with the lexicon of the other part, the trees; the third teaches the calibration with the
+lexicon of both. So no part judges what it has learned itself.
 
 The lexicon holds words and word beginnings (4 to 6 letters) that are much more frequent
 among toxic than other documents. Features are its densities and strongest entries, hits
@@ -37,12 +38,12 @@ from verdigris.llm.language_id import sample_per_label
 from verdigris.session import materialize
 
 MAX_ROWS = 20_000
-MIN_DOCS = 4
+MIN_DOCS = 3
 MIN_ODDS = 2.0
 STRONG_ODDS = 3.5
 MAX_ENTRIES = 20_000
 PREFIXES = (4, 5, 6)
-TREES, DEPTH, STEP = 20, 4, 0.3
+TREES, DEPTH, STEP = 25, 3, 0.3
 NEAR = 5
 SEED = 77
 
@@ -157,32 +158,43 @@ def features_of(text: str | None, lexicon: Lexicon, cache: dict[str, tuple[float
 def _entry_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         rows = []
-        for label, texts in batch.groupby("label")["text"]:
+        for (part, label), texts in batch.groupby(["part", "label"])["text"]:
             seen: Counter[str] = Counter()
             for text in texts:
                 words = {plain_word(t.lower()) for t in _TOKEN.findall(text)}
                 seen.update({entry for word in words if word for entry in entries_of(word)})
-            rows += [(entry, int(label), count) for entry, count in seen.items()]
-        yield pd.DataFrame(rows, columns=["entry", "label", "docs"])
+            rows += [(entry, int(part), int(label), count) for entry, count in seen.items()]
+        yield pd.DataFrame(rows, columns=["entry", "part", "label", "docs"])
 
 
-def learn_lexicon(rows: DataFrame) -> Lexicon:
-    """From (text, label) rows: entries in ``MIN_DOCS`` toxic documents with high log odds."""
-    sizes = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
-    toxic, other = sizes.get(1, 0), sizes.get(0, 0)
-    counted = (
+def learn_lexicons(rows: DataFrame) -> dict[str, Lexicon]:
+    """From (text, label, part) rows of parts 0 and 1: a lexicon of each part, and of ``both``.
+
+    Entries occur in ``MIN_DOCS`` toxic documents and have log odds of ``MIN_ODDS`` at least.
+    """
+    sizes = {(r["part"], r["label"]): r["count"] for r in rows.groupBy("part", "label").count().collect()}
+    counts = (
         rows.filter("text is not null")
-        .mapInPandas(_entry_counts, "entry string, label int, docs long")
+        .mapInPandas(_entry_counts, "entry string, part int, label int, docs long")
         .groupBy("entry")
         .agg(
-            F.sum(F.when(F.col("label") == 1, F.col("docs")).otherwise(0)).alias("a"),
-            F.sum(F.when(F.col("label") == 0, F.col("docs")).otherwise(0)).alias("b"),
+            *[
+                F.sum(F.when((F.col("part") == part) & (F.col("label") == label), F.col("docs")).otherwise(0)).alias(f"n{part}{label}")
+                for part in (0, 1)
+                for label in (0, 1)
+            ]
         )
     )
-    odds = F.log((F.col("a") + 0.1) / (toxic + 1.0)) - F.log((F.col("b") + 0.5) / (other + 1.0))
-    best = counted.filter(F.col("a") >= MIN_DOCS).select("entry", odds.alias("odds")).filter(F.col("odds") >= MIN_ODDS)
-    best = best.orderBy(F.desc("odds"), "entry").limit(MAX_ENTRIES)
-    return Lexicon({r.entry: r.odds for r in best.collect()})
+    counts = materialize(counts.filter(F.col("n01") + F.col("n11") >= MIN_DOCS), "entries")
+    found = {}
+    for name, parts in (("0", (0,)), ("1", (1,)), ("both", (0, 1))):
+        seen = {label: sum((F.col(f"n{part}{label}") for part in parts), F.lit(0)) for label in (0, 1)}
+        of = {label: sum(sizes.get((part, label), 0) for part in parts) for label in (0, 1)}
+        odds = F.log((seen[1] + 0.5) / (of[1] + 1.0)) - F.log((seen[0] + 1.0) / (of[0] + 1.0))
+        best = counts.filter(seen[1] >= MIN_DOCS).select("entry", odds.alias("odds")).filter(F.col("odds") >= MIN_ODDS)
+        best = best.orderBy(F.desc("odds"), "entry").limit(MAX_ENTRIES)
+        found[name] = Lexicon({r.entry: r.odds for r in best.collect()})
+    return found
 
 
 def with_features(docs: DataFrame, lexicon: Lexicon, text: str = "text") -> DataFrame:
@@ -200,7 +212,7 @@ def with_features(docs: DataFrame, lexicon: Lexicon, text: str = "text") -> Data
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, max_rows: int) -> DataFrame:
-    """(key, text, label, weight, part) of a bounded sample; parts are 0.5, 0.3 and 0.2."""
+    """(key, text, label, weight, part) of a bounded sample; parts are 0.4, 0.4 and 0.2."""
     known = labels.select(F.col("key").cast("string").alias("key"), F.col("label").cast("int").alias("label"))
     known = known.filter("key is not null and label in (0, 1)")
     sizes = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
@@ -208,7 +220,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, max_rows: int) -> DataFr
     share = {k: min(1.0, max_rows / len(sizes) / n) for k, n in sizes.items()}
     weight = F.when(F.col("label") == 1, F.lit(1 / share.get(1, 1.0))).otherwise(F.lit(1 / share.get(0, 1.0)))
     draw = uniform(F.lit(SEED), F.col("key"))
-    part = F.when(draw < 0.5, 0).when(draw < 0.8, 1).otherwise(2)
+    part = F.when(draw < 0.4, 0).when(draw < 0.8, 1).otherwise(2)
     sample = sample.select("key", "label", weight.alias("weight"), part.alias("part"))
     texts = docs.select(F.col("key").cast("string").alias("key"), "text")
     # At most about ``max_rows`` rows of a few bytes.
@@ -219,14 +231,14 @@ def fit_scores(features: DataFrame, sample: DataFrame, fallback: float) -> DataF
     """Rows of ``features`` (with the columns in ``FEATURES``) and their ``score``."""
     assembler = VectorAssembler(inputCols=list(FEATURES), outputCol="vector")
     parts = {(r["part"], r["label"]) for r in sample.select("part", "label").distinct().collect()}
-    if any((part, label) not in parts for part in (1, 2) for label in (0, 1)):
+    if any((part, label) not in parts for part in (0, 1, 2) for label in (0, 1)):
         return features.withColumn("score", F.lit(fallback))
     known = assembler.transform(sample)
     trees = GBTClassifier(
         featuresCol="vector", labelCol="label", weightCol="weight", maxIter=TREES, maxDepth=DEPTH, stepSize=STEP,
         seed=SEED,
     )
-    model = trees.fit(known.filter("part = 1").withColumn("label", F.col("label").cast("double")))
+    model = trees.fit(known.filter("part < 2").withColumn("label", F.col("label").cast("double")))
     margin = vector_to_array("rawPrediction")[1]
     judged = model.transform(known.filter("part = 2")).select(
         margin.alias("margin"), F.col("label").cast("double").alias("label"), "weight"
@@ -244,10 +256,14 @@ def fit_scores(features: DataFrame, sample: DataFrame, fallback: float) -> DataF
 def score_toxicity(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
     """``docs`` (key, text) and ``labels`` (key, label): (key, score), one row for each document."""
     sample = materialize(labelled_sample(docs, labels, max_rows), "labelled")
-    lexicon = learn_lexicon(sample.filter("part = 0").select("text", "label"))
+    lexicons = learn_lexicons(sample.filter("part < 2").select("text", "label", "part"))
     mean = sample.agg(F.sum(F.col("label") * F.col("weight")) / F.sum("weight")).first()[0] or 0.0
-    known = materialize(
-        with_features(sample.filter("part > 0"), lexicon).select("part", "label", "weight", "features.*"), "known"
-    )
-    found = materialize(with_features(docs.select("key", "text"), lexicon).select("key", "features.*"), "features")
-    return fit_scores(found, known, float(mean)).select("key", "score")
+    # Each part is read with the lexicon of the other, the last one with that of both.
+    readers = {0: lexicons["1"], 1: lexicons["0"], 2: lexicons["both"]}
+    known = None
+    for part, lexicon in readers.items():
+        own = with_features(sample.filter(F.col("part") == part), lexicon).select("part", "label", "weight", "features.*")
+        known = own if known is None else known.union(own)
+    known = materialize(known, "known")
+    found = with_features(docs.select("key", "text"), lexicons["both"]).select("key", "features.*")
+    return fit_scores(materialize(found, "features"), known, float(mean)).select("key", "score")
