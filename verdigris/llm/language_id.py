@@ -30,12 +30,12 @@ from verdigris.session import materialize
 
 UNKNOWN = "und"
 LONGEST = 5
-MAX_DOCS = 20_000
+MAX_DOCS = 12_000
 MAX_WORDS = 60_000
 MAX_GRAMS = 20_000
 MAX_LANGUAGES = 1_000
 SMOOTHING = 0.5
-CACHE_WORDS = 200_000  # unseen words whose score a task remembers
+SLICE_CHARS = 2_000_000  # texts judged together share the work on equal words
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -50,66 +50,98 @@ def grams_of(word: str, n: int) -> list[str]:
 
 
 class LanguageModel:
-    """Log frequencies of words and n-grams in each language."""
+    """Log frequencies of words and n-grams in each language, one matrix row for each."""
 
     def __init__(self, languages: list[str], counts: dict[int, dict[str, dict[str, int]]]):
         """``counts``: n (0 for words) to gram to language to count."""
         self.languages = languages
-        self.tables: dict[int, dict[str, np.ndarray]] = {}
+        self.rows: dict[int, dict[str, int]] = {}
         column = {name: i for i, name in enumerate(languages)}
+        parts, start = [np.zeros((0, len(languages)))], 0
         for n, grams in counts.items():
             found = np.zeros((len(grams), len(languages)))
             for row, by_language in enumerate(grams.values()):
                 for name, count in by_language.items():
                     found[row, column[name]] = count
             smoothed = found + SMOOTHING
-            scores = np.log(smoothed / smoothed.sum(axis=0))
-            self.tables[n] = dict(zip(grams, scores, strict=True))
-
-    def unseen(self, word: str) -> np.ndarray | None:
+            parts.append(np.log(smoothed / smoothed.sum(axis=0)))
+            self.rows[n] = {gram: start + i for i, gram in enumerate(grams)}
+            start += len(grams)
+        self.scores = np.vstack(parts)
+
+    def rows_of(self, word: str) -> list[int]:
+        """The word's own row, or those of its longest n-grams that were seen."""
+        row = self.rows.get(0, {}).get(word)
+        if row is not None:
+            return [row]
         for n in range(LONGEST, 0, -1):
-            known = self.tables.get(n, {})
-            scores = [known[g] for g in grams_of(word, n) if g in known]
-            if scores:
-                return np.mean(scores, axis=0)
-        return None
-
-    def judge(self, text: str | None, cache: dict[str, np.ndarray | None]) -> tuple[str, float]:
-        known = self.tables.get(0, {})
-        total = np.zeros(len(self.languages))
-        scored = False
-        for word, count in Counter(words_of(text)).items():
-            score = known.get(word)
-            if score is None:
-                if word not in cache:
-                    if len(cache) >= CACHE_WORDS:
-                        cache.clear()
-                    cache[word] = self.unseen(word)
-                score = cache[word]
-            if score is not None:
-                total += count * score
-                scored = True
-        if not scored:
-            return UNKNOWN, 0.0
-        best = int(np.argmax(total))
-        return self.languages[best], float(1.0 / np.exp(total - total[best]).sum())
+            known = self.rows.get(n)
+            if known:
+                found = [known[g] for g in grams_of(word, n) if g in known]
+                if found:
+                    return found
+        return []
+
+    def judge(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        """Language and posterior of each text; a word's score is the mean over its rows."""
+        place: dict[str, int] = {}
+        words, times, sizes = [], [], []
+        for text in texts:
+            counted = Counter(words_of(text))
+            words += [place.setdefault(word, len(place)) for word in counted]
+            times += counted.values()
+            sizes.append(len(counted))
+        rows = [self.rows_of(word) for word in place]
+        lengths = np.array([len(r) for r in rows], dtype=np.int64)
+        flat = np.fromiter((i for r in rows for i in r), np.int64, int(lengths.sum()))
+        owner = np.repeat(np.arange(len(rows)), lengths)
+        by_word = np.zeros((len(rows), len(self.languages)))
+        np.add.at(by_word, owner, self.scores[flat])
+        by_word /= np.maximum(lengths, 1)[:, None]
+        used, weight = np.array(words, np.int64), np.array(times, np.float64)
+        totals = np.zeros((len(texts), len(self.languages)))
+        of_text = np.repeat(np.arange(len(texts)), sizes)
+        np.add.at(totals, of_text, by_word[used] * weight[:, None])
+        scored = np.bincount(of_text, weights=lengths[used] > 0, minlength=len(texts)) > 0
+        out = []
+        for total, known in zip(totals, scored, strict=True):
+            if known:
+                best = int(np.argmax(total))
+                out.append((self.languages[best], float(1.0 / np.exp(total - total[best]).sum())))
+            else:
+                out.append((UNKNOWN, 0.0))
+        return out
+
+
+def slices(texts: pd.Series, chars: int = SLICE_CHARS) -> Iterator[list[str | None]]:
+    """Consecutive whole texts of together about ``chars`` characters, or one longer text."""
+    part, size = [], 0
+    for text in texts:
+        length = len(text) if text else 0
+        if part and size + length > chars:
+            yield part
+            part, size = [], 0
+        part.append(text)
+        size += length
+    if part:
+        yield part
 
 
 def _count_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
-        rows = []
         for language, texts in batch.groupby("lang", sort=False)["text"]:
-            words: Counter[str] = Counter()
-            for text in texts:
-                words.update(words_of(text))
-            rows += [(language, 0, word, count) for word, count in words.items()]
-            for n in range(1, LONGEST + 1):
-                grams: Counter[str] = Counter()
-                for word, count in words.items():
-                    for gram in grams_of(word, n):
-                        grams[gram] += count
-                rows += [(language, n, gram, count) for gram, count in grams.items()]
-        yield pd.DataFrame(rows, columns=["lang", "n", "gram", "count"])
+            for part in slices(texts):
+                words: Counter[str] = Counter()
+                for text in part:
+                    words.update(words_of(text))
+                rows = [(language, 0, word, count) for word, count in words.items()]
+                for n in range(1, LONGEST + 1):
+                    grams: Counter[str] = Counter()
+                    for word, count in words.items():
+                        for gram in grams_of(word, n):
+                            grams[gram] += count
+                    rows += [(language, n, gram, count) for gram, count in grams.items()]
+                yield pd.DataFrame(rows, columns=["lang", "n", "gram", "count"])
 
 
 def sample_per_label(rows: DataFrame, label: str, key: Column, bound: int, most_labels: int) -> DataFrame:
@@ -163,9 +195,10 @@ def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataF
 
     @F.pandas_udf("lang_pred string, score double")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        known, cache = shared.value, {}
+        known = shared.value
         for batch in batches:
-            yield pd.DataFrame([known.judge(t, cache) for t in batch], columns=["lang_pred", "score"])
+            judged = [row for part in slices(batch) for row in known.judge(part)]
+            yield pd.DataFrame(judged, columns=["lang_pred", "score"])
 
     kept = without(docs, ("lang_pred", "score"))
     (judged,) = unused(docs, "_judged")
