@@ -7,8 +7,8 @@ import pytest
 import __spark_entry__ as entry
 from tests.compare import compare, duck
 from tests.conftest import SMALL
+from verdigris.plans.registry import ORACLES, QUERIES
 
-ORACLES = entry.oracle_sql()
 # Fitted models take long and have their own tests.
 SLOW = {"train_gbt", "train_forecaster", "score_batch"}
 
@@ -20,14 +20,14 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_agrees_with_sql(spark, con, name):
-    rows, problem = compare(entry.queries()[name](spark, SMALL), con, ORACLES[name])
+    rows, problem = compare(QUERIES[name](spark, SMALL), con, ORACLES[name])
     assert not problem
     assert rows > 0
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - set(ORACLES) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLES) - SLOW))
 def test_runs_without_sql(spark, name):
-    assert entry.queries()[name](spark, SMALL).count() > 0
+    assert QUERIES[name](spark, SMALL).count() > 0
 
 
 def test_flagship(spark):

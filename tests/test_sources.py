@@ -154,7 +154,7 @@ def test_replay_batches(spark, size, start, cap, sizes):
 
 def test_replay_round_trip(tables, spark, fresh):
     raw = tables.bronze.select(*RAW_COLUMNS, "ingestion_timestamp", "source_file")
-    path = write_requests(replay_pack(raw, ["ingestion_timestamp", "id", "source_file"], 100), fresh(), file_each=True)
+    path = write_requests(replay_pack(raw, ["ingestion_timestamp", "id", "source_file"], 100), fresh(), per_file=1)
     back = explode_envelope(scan_json(spark, path))
     assert back.exceptAll(raw.select(*RAW_COLUMNS)).count() == 0 and back.count() == 1020
 

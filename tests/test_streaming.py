@@ -4,12 +4,24 @@ from __future__ import annotations
 
 from datetime import datetime
 
+import pytest
 from pyspark.sql import functions as F
 
+from tests.conftest import plan_of
 from tests.test_cleaning import bronze
 from verdigris.operators.silver import build_silver, silver_project, silver_validate
 from verdigris.sources.routing import replay_pack, write_requests
-from verdigris.streaming.jobs import clean, dedup_first, read_landed, run_available, to_parquet, upsert_latest
+from verdigris.operators.semantic import int_sensor_metrics, stg_iot_data
+from verdigris.operators.gold import gold_fact
+from verdigris.streaming.jobs import (
+    first_copy_stream,
+    hourly_stream,
+    read_landed,
+    run_available,
+    to_parquet,
+    upsert_latest,
+    upsert_stream,
+)
 
 
 def _land(rows, path, mode="append"):
@@ -30,7 +42,7 @@ def test_restart_reads_only_new_files(spark, fresh):
 def test_stream_keeps_one_copy_per_key(spark, fresh):
     landed, out = fresh("landed"), fresh("out")
     _land(bronze(spark, *[dict(id=str(i % 7), pH=str(5 + i / 100)) for i in range(30)]), landed)
-    run_available(to_parquet(dedup_first(clean(read_landed(spark, landed))), out, fresh("state")))
+    run_available(first_copy_stream(read_landed(spark, landed), out, fresh("state")))
     assert sorted(r.id for r in spark.read.parquet(out).collect()) == list(range(7))
 
 
@@ -58,5 +70,41 @@ def test_upsert_leaves_other_days_alone(spark, fresh):
 
 
 def test_requests_file_count(spark, fresh):
-    path = write_requests(replay_pack(bronze(spark, *[dict(id=str(i)) for i in range(7)]), ["id"], 3), fresh(), file_each=True)
+    path = write_requests(replay_pack(bronze(spark, *[dict(id=str(i)) for i in range(7)]), ["id"], 3), fresh(), per_file=1)
     assert len(spark.read.text(path).inputFiles()) == 3
+
+
+@pytest.mark.parametrize("files", [1, 3, None])
+def test_results_do_not_depend_on_batch_size(tables, spark, fresh, files):
+    rows = tables.bronze.drop("device_id")
+    landed, late = fresh("landed"), F.col("source_file") == "late.parquet"
+    silver, hours, states = fresh("silver"), fresh("hours"), (fresh("s"), fresh("h"))
+    for part in (rows.filter(~late), rows.filter(late)):
+        packed = replay_pack(part, ["ingestion_timestamp", "id", "source_file"], batch_size=100)
+        write_requests(packed, landed, per_file=2, mode="append")
+        run_available(upsert_stream(read_landed(spark, landed, files_per_batch=files), silver, states[0]))
+    run_available(hourly_stream(read_landed(spark, landed, files_per_batch=files), fresh("own"), hours, states[1]))
+    want = build_silver(rows).drop("ingestion_timestamp", "source_file")
+    stored = spark.read.parquet(silver).select(*want.columns)
+    assert stored.count() == 973 and want.exceptAll(stored).count() == 0
+    counted = int_sensor_metrics(stg_iot_data(gold_fact(build_silver(rows)))).select("reading_date", "reading_hour", "reading_count")
+    assert counted.exceptAll(spark.read.parquet(hours).select(*counted.columns)).count() == 0
+
+
+def test_stored_days_are_read_through_a_partition_filter(spark, fresh):
+    from verdigris.streaming import jobs
+
+    path = fresh("silver")
+    rows = silver_validate(silver_project(bronze(spark, dict(id="1", timestamp="2023-11-26 10:00:00"))))
+    days = upsert_latest(rows, path)
+    stored = jobs._stored(rows.withColumn("day", F.to_date("timestamp")), path, days)
+    assert "PartitionFilters: [isnotnull(day" in plan_of(stored) and "2023-11-26" in plan_of(stored)
+
+
+def test_ids_beyond_32_bits_are_kept(spark, fresh):
+    big = str(3 * 10**9)
+    rows = bronze(spark, dict(id=big), dict(id="not a number"))
+    assert [r.id for r in build_silver(rows).collect()] == [int(big)]
+    path = fresh("silver")
+    upsert_latest(silver_validate(silver_project(rows)), path)
+    assert [r.id for r in spark.read.parquet(path).collect()] == [int(big)]

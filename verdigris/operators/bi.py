@@ -213,9 +213,9 @@ def hours_of_day(hourly: DataFrame, day: date) -> DataFrame:
     )
 
 
-def recent_days(daily: DataFrame, limit: int = 30) -> DataFrame:
-    """KPIs of the latest ``limit`` days."""
-    return (
+def recent_days(daily: DataFrame, limit: int | None = None) -> DataFrame:
+    """KPIs by day, newest first; ``limit`` keeps the latest days."""
+    ordered = (
         daily.select(
             "reading_date",
             "daily_health_score",
@@ -226,8 +226,8 @@ def recent_days(daily: DataFrame, limit: int = 30) -> DataFrame:
             "daily_avg_tds",
         )
         .orderBy(F.desc("reading_date"))
-        .limit(limit)
     )
+    return ordered if limit is None else ordered.limit(limit)
 
 
 def lowercase_columns(df: DataFrame) -> DataFrame:

@@ -28,11 +28,11 @@ def forecast_metrics(df: DataFrame, actual: str, predicted: str) -> DataFrame:
 
 
 def regression_metrics(df: DataFrame, actual: str, predicted: str) -> DataFrame:
-    """MAE, RMSE and R². R² is null when the actual values do not vary."""
+    """MAE, RMSE and R² of rows with both values. R² is null when the actual values do not vary."""
     y, p = F.col(actual), F.col(predicted)
     error = y - p
     total = F.count(y) * F.var_pop(y)
-    return df.agg(
+    return df.filter(y.isNotNull() & p.isNotNull()).agg(
         F.avg(F.abs(error)).alias("mae"),
         F.sqrt(F.avg(error * error)).alias("rmse"),
         (1 - F.sum(error * error) / F.when(total != 0, total)).alias("r2_score"),

@@ -90,7 +90,8 @@ def train_trees(
     if classify:
         # At most a handful of classes: the weights are a constant-size table.
         weights = class_weights(rows.filter("not is_validation"), target).select(target, "weight")
-        rows = rows.join(F.broadcast(weights), target)
+        # Validation rows of a class without training rows, and rows without label, stay.
+        rows = rows.join(weights, target, "left").fillna(1.0, ["weight"])
     else:
         rows = rows.withColumn("weight", F.lit(1.0))
     assembled = VectorAssembler(inputCols=columns, outputCol="features").transform(rows)

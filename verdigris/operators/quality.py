@@ -106,7 +106,7 @@ def dq_report(tables: dict[str, tuple[DataFrame, Checks]]) -> DataFrame:
         if checks.not_null or checks.ranges:
             parts.append(_one_pass(name, df, checks))
         for key in checks.unique:
-            # One aggregation yields both figures: surplus rows and all rows.
+            # One aggregation yields both figures: repeated keys and all rows.
             groups = df.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
             present = F.lit(True)
             for column in key:

@@ -151,8 +151,9 @@ def fct_sensor_readings(staged: DataFrame, time_dimension: DataFrame | None = No
     """Fact mart: readings, time attributes, status texts.
 
     With a time dimension this is a left equi-join on the timestamp; both sides grow with
-    the data, so the strategy is left to adaptive execution, which also splits a hot
-    timestamp. Without one the attributes are derived from the timestamp itself, which
+    the data, so the strategy is left to adaptive execution. It can split a hot timestamp
+    only if the dimension is a stored table: a dimension computed in the same plan brings
+    its own partitioning. Without one the attributes are derived from the timestamp itself, which
     gives the same rows for a dimension built from the same readings and needs no shuffle.
     """
     wanted = ["date", "hour", "day_name", "month_name", "day_type"]

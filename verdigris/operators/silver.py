@@ -10,13 +10,10 @@ from verdigris.functions.cleaning import onoff_to_bool, parse_timestamp, to_doub
 from verdigris.schemas import ACTUATORS, PHYSICAL_RANGES
 
 
-def silver_project(bronze: DataFrame, id_type: str = "int", keep: tuple[str, ...] = ()) -> DataFrame:
-    """Typed bronze. ``keep`` carries further columns (such as a device key) along.
-
-    Use ``id_type="bigint"`` for sources with more than 2**31 readings.
-    """
+def silver_project(bronze: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Typed bronze. ``keep`` carries further columns (such as a device key) along."""
     return bronze.select(
-        F.col("id").try_cast(id_type).alias("id"),
+        F.col("id").try_cast("bigint").alias("id"),
         parse_timestamp(F.col("timestamp")).alias("timestamp"),
         to_double(F.col("pH")).alias("pH"),
         to_double(F.col("TDS")).alias("TDS"),
@@ -108,12 +105,11 @@ def validate_and_dedup(typed: DataFrame) -> DataFrame:
 
 def build_silver(
     bronze: DataFrame,
-    id_type: str = "int",
     keep: tuple[str, ...] = (),
     processed_at: datetime | None = None,
 ) -> DataFrame:
     """Project, validate and deduplicate; ``processed_at`` adds the processing time."""
-    silver = validate_and_dedup(silver_project(bronze, id_type, keep))
+    silver = validate_and_dedup(silver_project(bronze, keep))
     if processed_at is not None:
         silver = silver.withColumn("silver_processed_timestamp", F.lit(processed_at))
     return silver

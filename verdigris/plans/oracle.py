@@ -55,7 +55,7 @@ TIME_SQL = "try_strptime(\"timestamp\", '%Y-%m-%d %H:%M:%S')"
 _table(
     "typed",
     f"""
-    select try_cast(id as integer) as id, {TIME_SQL} as "timestamp", {number_sql('"pH"')} as "pH",
+    select try_cast(id as bigint) as id, {TIME_SQL} as "timestamp", {number_sql('"pH"')} as "pH",
       {number_sql('"TDS"')} as "TDS", cast(trunc({number_sql('water_level')}) as integer) as water_level,
       {number_sql('"DHT_temp"')} as "DHT_temp", {number_sql('"DHT_humidity"')} as "DHT_humidity",
       {number_sql('water_temp')} as water_temp, {onoff_sql('"pH_reducer"')} as "pH_reducer",

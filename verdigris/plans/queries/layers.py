@@ -28,6 +28,7 @@ from verdigris.functions.cleaning import (
     to_double,
     to_int,
 )
+from verdigris.operators.gold import gold_fact
 from verdigris.operators.joins import equipment_long, equipment_usage, suboptimal_readings
 from verdigris.operators.semantic import (
     conditional_count,
@@ -272,7 +273,7 @@ def _(t: Tables):
 
 @query("fct_sensor_readings", using("fct", "select * from fct"))
 def _(t: Tables):
-    return fct_sensor_readings(t.staged, t.time)
+    return fct_sensor_readings(stg_iot_data(gold_fact(t.stored_silver)), t.stored_time)
 
 
 @query("fct_sensor_readings_derived", using("fct", "select * from fct"))
@@ -291,7 +292,7 @@ def _(t: Tables):
     ),
 )
 def _(t: Tables):
-    return suboptimal_readings(t.fact, t.time)
+    return suboptimal_readings(gold_fact(t.stored_silver), t.stored_time)
 
 
 _LONG_SQL = " union all ".join(

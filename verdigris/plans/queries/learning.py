@@ -263,7 +263,7 @@ def _(t: Tables):
     ),
 )
 def _(t: Tables):
-    return rounded(regression_metrics(_pairs(t).dropna(), "y", "p"))
+    return rounded(regression_metrics(_pairs(t), "y", "p"))
 
 
 # A score with ties: humidity in whole percent, mapped to 0..1.

@@ -188,11 +188,24 @@ def _(t: Tables):
         "daily",
         f"""select reading_date, daily_health_score, daily_environment_efficiency_pct, total_environment_optimal,
             total_readings, {round_sql(['daily_avg_ph', 'daily_avg_tds'])} from daily
-            order by reading_date desc limit 30""",
+            order by reading_date desc""",
     ),
 )
 def _(t: Tables):
-    return rounded(bi.recent_days(t.daily, 30))
+    return rounded(bi.recent_days(t.daily))
+
+
+@query(
+    "latest_days",
+    using(
+        "daily",
+        """select reading_date, daily_health_score, total_readings from daily
+           order by reading_date desc limit 7""",
+    ),
+)
+def _(t: Tables):
+    """KPIs of the last week; the limit is the feature."""
+    return bi.recent_days(t.daily, 7).select("reading_date", "daily_health_score", "total_readings")
 
 
 @query(

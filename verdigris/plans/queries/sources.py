@@ -45,7 +45,7 @@ def _(t: Tables):
 @query("scan_json_bronze", using("bronze", f"select {_RAW_SQL} from bronze"))
 def _(t: Tables):
     packed = replay_pack(t.bronze, REPLAY_ORDER, batch_size=500)
-    path = write_requests(packed, scratch_path(t.spark, "json"), file_each=True)
+    path = write_requests(packed, scratch_path(t.spark, "json"))
     return explode_envelope(scan_json(t.spark, path))
 
 
@@ -56,7 +56,7 @@ def _(t: Tables):
     batches = replay_pack(t.bronze.filter(~late), REPLAY_ORDER, batch_size=100)
     bare = replay_pack(t.bronze.filter(late), REPLAY_ORDER, batch_size=1)
     path = write_requests(batches.unionByName(bare), scratch_path(t.spark, "mixed"))
-    return explode_envelope(scan_json(t.spark, path, multi_line=False))
+    return explode_envelope(scan_json(t.spark, path))
 
 
 @query("scan_parquet_or_table", using("bronze", 'select id, "timestamp", source_file from bronze'))
@@ -136,11 +136,12 @@ def _(t: Tables):
         "fact dim_time",
         """select 'dim_time' as table_name, count(*) as source_rows, count(*) as published_rows, true as matches
            from dim_time union all
-           select 'iot_data', count(*), count(*), true from fact""",
+           select 'iot_data', count(*), count(*), true from fact union all
+           select 'dim_equipment', 5, 5, true""",
     ),
 )
 def _(t: Tables):
-    gold = {"iot_data": t.fact, "dim_time": t.time}
+    gold = {"iot_data": t.fact, "dim_time": t.time, "dim_equipment": t.equipment}
     paths = publish_parquet(gold, scratch_path(t.spark, "published"))
     return verify_counts(gold, {n: t.spark.read.parquet(p) for n, p in paths.items()})
 

@@ -2,74 +2,82 @@
 
 from __future__ import annotations
 
-from verdigris.plans.oracle import using
+from pyspark.sql import DataFrame, functions as F
+
+from verdigris.plans.oracle import HOURLY_MEANS, replace_rounded, using
 from verdigris.plans.queries.sources import REPLAY_ORDER
 from verdigris.plans.registry import Tables, query, rounded
 from verdigris.schemas import RAW_COLUMNS
 from verdigris.session import scratch_path
 from verdigris.sources.routing import replay_pack, write_requests
 from verdigris.streaming.jobs import (
-    clean,
-    dedup_first,
-    hourly,
+    first_copy_stream,
+    hourly_stream,
     read_landed,
     run_available,
     to_parquet,
     upsert_stream,
 )
 
+# Requests of 500 readings, four to a file of JSON lines, two files to a micro-batch.
+REQUEST_READINGS, FILE_REQUESTS, BATCH_FILES = 500, 4, 2
 _RAW_SQL = ", ".join(f'"{n}"' for n in RAW_COLUMNS)
+_SILVER = (
+    "id timestamp pH TDS water_level DHT_temp DHT_humidity water_temp pH_reducer add_water nutrients_adder "
+    "humidifier ex_fan"
+).split()
+_SILVER_SQL = ", ".join(f'"{n}"' for n in _SILVER)
 
 
-def _landed(t: Tables) -> str:
-    """The readings as request files of 500 records."""
-    packed = replay_pack(t.bronze, REPLAY_ORDER, batch_size=500)
-    return write_requests(packed, scratch_path(t.spark, "landed"), file_each=True)
+def _land(rows: DataFrame, path: str) -> str:
+    packed = replay_pack(rows, REPLAY_ORDER, batch_size=REQUEST_READINGS)
+    return write_requests(packed, path, per_file=FILE_REQUESTS, mode="append")
 
 
-def _run(t: Tables, stream, name: str):
-    path = scratch_path(t.spark, name)
-    run_available(to_parquet(stream, path, scratch_path(t.spark, f"{name}-state")))
-    return t.spark.read.schema(stream.schema).parquet(path)
+def _run_landings(t: Tables, name: str, start) -> None:
+    """Run a stream over the readings, then restart it over those sent again later."""
+    landed = scratch_path(t.spark, f"{name}-landed")
+    state = scratch_path(t.spark, f"{name}-state")
+    late = F.col("source_file") == "late.parquet"
+    for rows in (t.bronze.filter(~late), t.bronze.filter(late)):
+        _land(rows, landed)
+        run_available(start(read_landed(t.spark, landed, files_per_batch=BATCH_FILES), state))
 
 
 @query("stream_json_ingest", using("bronze", f"select {_RAW_SQL}, 'api_ingestion' as source_file from bronze"))
 def _(t: Tables):
-    stream = read_landed(t.spark, _landed(t), files_per_batch=10)
-    return _run(t, stream, "ingest").drop("ingestion_timestamp")
-
-
-@query("stream_silver_dedup", using("silver", 'select id, "timestamp" from silver'))
-def _(t: Tables):
-    """Keys agree with batch; which copy survives differs by design."""
-    stream = dedup_first(clean(read_landed(t.spark, _landed(t))))
-    return _run(t, stream, "dedup").select("id", "timestamp")
+    landed, path = scratch_path(t.spark, "landed"), scratch_path(t.spark, "ingest")
+    stream = read_landed(t.spark, _land(t.bronze, landed), files_per_batch=BATCH_FILES)
+    run_available(to_parquet(stream, path, scratch_path(t.spark, "ingest-state")))
+    return t.spark.read.schema(stream.schema).parquet(path).drop("ingestion_timestamp")
 
 
-# The last hours stay open until the watermark (latest event minus the delay) passes them.
 @query(
-    "stream_hourly_metrics",
+    "stream_silver_dedup",
     using(
         "valid",
-        "select reading_date, reading_hour, count(*) as reading_count, round(avg(\"pH\") + 1.3e-8, 6) as avg_ph,"
-        " round(stddev_samp(\"TDS\") + 1.3e-8, 6) as stddev_tds, cast(sum(case when ex_fan then 1 else 0 end) as bigint)"
-        " as fan_activations from (select *, cast(\"timestamp\" as date) as reading_date,"
-        " cast(hour(\"timestamp\") as integer) as reading_hour from valid)"
-        " where date_trunc('hour', \"timestamp\") + interval 1 hour <="
-        " (select max(\"timestamp\") - interval 1 hour from valid) group by 1, 2",
+        f"""select {_SILVER_SQL} from (select *, row_number() over (partition by id, "timestamp"
+            order by ingestion_timestamp) as copy from valid) where copy = 1""",
     ),
 )
 def _(t: Tables):
-    stream = hourly(clean(read_landed(t.spark, _landed(t))))
-    shown = ["reading_date", "reading_hour", "reading_count", "avg_ph", "stddev_tds", "fan_activations"]
-    return rounded(_run(t, stream, "hourly").select(*shown))
+    """The first valid copy of each reading to arrive stays."""
+    path = scratch_path(t.spark, "first")
+    _run_landings(t, "first", lambda stream, state: first_copy_stream(stream, path, state))
+    return t.spark.read.parquet(path).select(*_SILVER)
+
+
+@query("stream_hourly_metrics", using("hourly", f"select {replace_rounded(HOURLY_MEANS)} from hourly"))
+def _(t: Tables):
+    """The full batch roll-up, kept up to date day by day."""
+    path, silver = scratch_path(t.spark, "hours"), scratch_path(t.spark, "hours-silver")
+    _run_landings(t, "hours", lambda stream, state: hourly_stream(stream, silver, path, state))
+    return rounded(t.spark.read.parquet(path).drop("day"))
 
 
-@query("stream_upsert_latest", using("silver", 'select id, "timestamp" from silver'))
+@query("stream_upsert_latest", using("silver", f"select {_SILVER_SQL} from silver"))
 def _(t: Tables):
-    """Two batches of request files merged into one silver path."""
+    """The latest copy of each reading, all columns but those of the ingestion itself."""
     path = scratch_path(t.spark, "silver")
-    files = max(1, t.bronze.count() // 1000)
-    stream = clean(read_landed(t.spark, _landed(t), files_per_batch=files))
-    run_available(upsert_stream(stream, path, scratch_path(t.spark, "upsert-state")))
-    return t.spark.read.parquet(path).select("id", "timestamp")
+    _run_landings(t, "upsert", lambda stream, state: upsert_stream(stream, path, state))
+    return t.spark.read.parquet(path).select(*_SILVER)

@@ -17,7 +17,7 @@ from verdigris.operators.semantic import (
     stg_iot_data,
 )
 from verdigris.operators.silver import build_silver, silver_project, silver_validate
-from verdigris.session import use_utc
+from verdigris.session import materialize, use_utc
 from verdigris.sources.readings import bronze_from_events
 
 
@@ -48,6 +48,17 @@ class Tables:
     def fact(self) -> DataFrame:
         return gold_fact(self.silver)
 
+    @cached_property
+    def stored_silver(self) -> DataFrame:
+        """Silver written once, for queries that read it more than once."""
+        return materialize(self.silver, "silver")
+
+    @cached_property
+    def stored_time(self) -> DataFrame:
+        """The time dimension as a table: a join with it starts from a scan on both sides,
+        so that adaptive execution can split a hot timestamp."""
+        return materialize(dim_time(self.stored_silver), "dim-time")
+
     @cached_property
     def device_fact(self) -> DataFrame:
         return gold_fact(build_silver(self.bronze, keep=("device_id",)), keep=("device_id",))

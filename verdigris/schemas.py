@@ -100,7 +100,7 @@ ENVELOPE_SCHEMA = T.StructType(
     [T.StructField("records", T.ArrayType(RAW_SCHEMA), True), *RAW_SCHEMA.fields]
 )
 SILVER_SCHEMA = _struct(
-    ("id", _I),
+    ("id", _L),
     ("timestamp", _TS),
     ("pH", _D),
     ("TDS", _D),
@@ -113,7 +113,7 @@ SILVER_SCHEMA = _struct(
     ("source_file", _S),
 )
 FACT_SCHEMA = _struct(
-    ("reading_id", _I),
+    ("reading_id", _L),
     ("timestamp_key", _TS),
     ("ph_level", _D),
     ("tds_level", _D),

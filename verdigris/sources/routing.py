@@ -110,10 +110,10 @@ def replay_pack(
     )
 
 
-def write_requests(packed: DataFrame, path: str, file_each: bool = False) -> str:
-    """Land the bodies as JSON lines, or as one small file per request."""
-    writer = packed.select("body").write.mode("overwrite")
-    if file_each:
-        writer = writer.option("maxRecordsPerFile", 1)
+def write_requests(packed: DataFrame, path: str, per_file: int | None = None, mode: str = "overwrite") -> str:
+    """Land the bodies as JSON lines, at most ``per_file`` requests to a file."""
+    writer = packed.select("body").write.mode(mode)
+    if per_file:
+        writer = writer.option("maxRecordsPerFile", per_file)
     writer.text(path)
     return path

@@ -32,8 +32,8 @@ def scan_csv(
     )
 
 
-def scan_json(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
-    """Landed request bodies: one JSON document per file, or JSON lines.
+def scan_json(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Landed request bodies: JSON lines, or one JSON document per file.
 
     The explicit schema avoids an inference pass over all files and keeps a column
     that no file mentions. Multi-line files cannot be split and should stay small; large
@@ -92,7 +92,7 @@ def ingest_json(
     path: str,
     source: str = "api_ingestion",
     ingested_at: datetime | None = None,
-    multi_line: bool = True,
+    multi_line: bool = False,
 ) -> DataFrame:
     """Landed JSON files to bronze rows."""
     rows = normalize_strings(explode_envelope(scan_json(spark, path, multi_line)))
@@ -117,10 +117,12 @@ def scan_parquet_or_table(
 ) -> DataFrame:
     """Prefer the layer's Parquet path; use the table when the path does not exist.
 
-    Only analysis errors (missing path, no schema) fall through. Failures that may be
+    Only a missing path or one without files falls through. Failures that may be
     transient, such as denied access or a lost node, are raised.
     """
     try:
         return spark.read.option("mergeSchema", merge_schema).parquet(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
         return spark.table(table)

@@ -1,7 +1,10 @@
 """File-source streams over landed request files.
 
 Every job takes its own checkpoint folder, which together with the file source and the
-Parquet sink makes the output exactly-once across restarts.
+sinks makes the output exactly-once across restarts. Deduplication and roll-ups work
+against what is stored for the days a batch touches, not against a watermark: re-sent
+readings may arrive a day or more late, and results do not depend on how files are dealt
+to batches.
 """
 
 from __future__ import annotations
@@ -11,59 +14,36 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from verdigris.operators.gold import gold_fact
-from verdigris.operators.semantic import hourly_aggregates, optimality_shares, stg_iot_data
-from verdigris.operators.silver import silver_dedup, silver_project, silver_validate
+from verdigris.operators.semantic import int_sensor_metrics, stg_iot_data
+from verdigris.operators.silver import silver_dedup, silver_project, validate_and_dedup
 from verdigris.schemas import ENVELOPE_SCHEMA
 from verdigris.session import materialize
 from verdigris.sources.scans import add_ingest_metadata, explode_envelope, normalize_strings
 
+# A batch that touches more days than this reads the stored table without a day filter.
+MOST_DAYS = 1_000
+
 
 def read_landed(
     spark: SparkSession,
     path: str,
     source: str = "api_ingestion",
     files_per_batch: int | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
-    """Landed JSON files as a stream of bronze rows. ``files_per_batch`` bounds a batch."""
-    reader = spark.readStream.schema(ENVELOPE_SCHEMA).option("multiLine", True)
+    """Landed JSON lines as a stream of bronze rows. ``files_per_batch`` bounds a batch.
+
+    ``multi_line`` reads one document per file instead; such files cannot be split.
+    """
+    reader = spark.readStream.schema(ENVELOPE_SCHEMA).option("multiLine", multi_line)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return add_ingest_metadata(normalize_strings(explode_envelope(reader.json(path))), source)
 
 
 def clean(bronze: DataFrame) -> DataFrame:
-    """Typed and valid rows of a bronze stream."""
-    return silver_validate(silver_project(bronze))
-
-
-def dedup_first(valid: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """First copy of each (id, timestamp) within the watermark.
-
-    The batch job keeps the latest copy and stays the reference; a stream cannot wait for
-    later ones. State is dropped once the watermark passes. Rows later than the watermark
-    are dropped and show up as ``numRowsDroppedByWatermark`` in the query progress.
-    """
-    return valid.withWatermark("timestamp", delay).dropDuplicatesWithinWatermark(["id", "timestamp"])
-
-
-def hourly(valid: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """Tumbling one-hour roll-up with the measures of the batch roll-up.
-
-    An hour is emitted once the watermark has passed its end.
-    """
-    staged = stg_iot_data(gold_fact(valid)).withWatermark("timestamp_key", delay)
-    start = F.col("window.start")
-    return (
-        staged.groupBy(F.window("timestamp_key", "1 hour"))
-        .agg(*hourly_aggregates())
-        .select(
-            F.to_date(start).alias("reading_date"),
-            F.hour(start).alias("reading_hour"),
-            "*",
-            *optimality_shares(),
-        )
-        .drop("window")
-    )
+    """Typed, valid rows of one batch, the latest of each key; each field is parsed once."""
+    return validate_and_dedup(silver_project(bronze))
 
 
 def to_parquet(stream: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
@@ -83,25 +63,31 @@ def run_available(writer: DataStreamWriter) -> StreamingQuery:
     return query
 
 
-def upsert_latest(batch: DataFrame, path: str) -> None:
-    """Merge one batch of valid rows into a silver path partitioned by ``day``.
+def _touched_days(batch: DataFrame) -> list | None:
+    """Days of a stored batch, or None if there are too many for a filter."""
+    days = [row.day for row in batch.select("day").distinct().limit(MOST_DAYS + 1).collect()]
+    return days if len(days) <= MOST_DAYS else None
 
-    Only the days the batch touches are read, deduplicated together with the new rows
-    and replaced. Applying the same batch twice changes nothing, so a retried batch is
-    safe. The merged rows are stored in the shared folder before any day is replaced.
-    """
-    spark = batch.sparkSession
-    fresh = batch.withColumn("day", F.to_date("timestamp"))
+
+def _stored(batch: DataFrame, path: str, days: list | None) -> DataFrame | None:
+    """Rows stored for these days, read through a partition filter; None without a path."""
     try:
-        stored = spark.read.schema(fresh.schema).parquet(path)
-    except AnalysisException:
-        merged = fresh
-    else:
-        touched = stored.join(fresh.select("day").distinct(), "day", "left_semi")
-        merged = touched.unionByName(fresh)
+        found = batch.sparkSession.read.schema(batch.schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return found if days is None else found.filter(F.col("day").isin(days))
+
+
+def _with_day(batch: DataFrame) -> DataFrame:
+    """One batch, evaluated once and stored in the shared folder."""
+    return materialize(batch.withColumn("day", F.to_date("timestamp")), "batch")
+
+
+def _replace_days(rows: DataFrame, path: str) -> None:
     (
-        materialize(silver_dedup(merged), "upsert")
-        .hint("rebalance", "day")
+        rows.hint("rebalance", "day")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("day")
@@ -109,10 +95,69 @@ def upsert_latest(batch: DataFrame, path: str) -> None:
     )
 
 
-def upsert_stream(valid: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
-    """Keep a silver path at the latest copy of every reading."""
+def upsert_latest(batch: DataFrame, path: str) -> list | None:
+    """Merge one batch of valid rows into a silver path partitioned by ``day``.
+
+    Only the days the batch touches are read, deduplicated together with the new rows
+    and replaced. Applying the same batch twice changes nothing, so a retried batch is
+    safe. The merged rows are stored in the shared folder before any day is replaced.
+    Returns the days, or None if there are more than ``MOST_DAYS``.
+    """
+    fresh = _with_day(batch)
+    days = _touched_days(fresh)
+    stored = _stored(fresh, path, days)
+    merged = fresh if stored is None else stored.unionByName(fresh)
+    _replace_days(materialize(silver_dedup(merged), "upsert"), path)
+    return days
+
+
+def append_first(batch: DataFrame, path: str) -> None:
+    """Add the rows of a batch whose key is not stored yet: the first copy to arrive stays.
+
+    New rows join the stored rows of their days, which are then replaced as a whole, so a
+    retried batch is safe.
+    """
+    fresh = _with_day(batch)
+    stored = _stored(fresh, path, _touched_days(fresh))
+    if stored is None:
+        merged = fresh
+    else:
+        merged = stored.unionByName(fresh.join(stored, ["id", "timestamp"], "left_anti"))
+    _replace_days(materialize(merged, "append"), path)
+
+
+def refresh_hours(spark: SparkSession, silver: str, path: str, days: list | None) -> None:
+    """Roll up the given days of a stored silver path again and replace them."""
+    rows = spark.read.parquet(silver)
+    if days is not None:
+        rows = rows.filter(F.col("day").isin(days))
+    hours = int_sensor_metrics(stg_iot_data(gold_fact(rows.drop("day"))))
+    _replace_days(hours.withColumn("day", F.col("reading_date")), path)
+
+
+def _for_each_batch(bronze: DataFrame, checkpoint: str, apply) -> DataStreamWriter:
     return (
-        valid.writeStream.outputMode("append")
+        bronze.writeStream.outputMode("append")
         .option("checkpointLocation", checkpoint)
-        .foreachBatch(lambda batch, _: upsert_latest(batch, path))
+        .foreachBatch(lambda batch, _: apply(clean(batch)))
     )
+
+
+def upsert_stream(bronze: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
+    """Keep a silver path at the latest copy of every reading."""
+    return _for_each_batch(bronze, checkpoint, lambda rows: upsert_latest(rows, path))
+
+
+def first_copy_stream(bronze: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
+    """Keep a silver path at the first copy of every reading."""
+    return _for_each_batch(bronze, checkpoint, lambda rows: append_first(rows, path))
+
+
+def hourly_stream(bronze: DataFrame, silver: str, path: str, checkpoint: str) -> DataStreamWriter:
+    """Keep silver, and the hourly roll-up of all days a batch touches."""
+
+    def apply(rows: DataFrame) -> None:
+        days = upsert_latest(rows, silver)
+        refresh_hours(rows.sparkSession, silver, path, days)
+
+    return _for_each_batch(bronze, checkpoint, apply)
