@@ -60,7 +60,9 @@ def fill_zero(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def _bucket(key: Sequence[str], seed: int) -> Column:
-    return F.pmod(F.xxhash64(*[F.col(name) for name in key], F.lit(seed)), F.lit(1000))
+    """0 to 999 from the MD5 of the seed and the key's text, which any SQL engine can state."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.col(name).cast("string") for name in key])
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("bigint") % 1000
 
 
 def hash_split(

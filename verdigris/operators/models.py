@@ -7,11 +7,11 @@ from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.ml import Model
-from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import GBTRegressor, LinearRegression
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression, LinearRegressionModel
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from verdigris.operators.mlprep import (
     LABEL,
@@ -50,6 +50,10 @@ class SequenceParams:
     mix: float = 0.0
 
 
+_SPEC = "kind string, features array<string>, classifies boolean, length int, target string, stats map<string, double>"
+_FITTED = {m.__name__: m for m in (GBTClassificationModel, GBTRegressionModel, LinearRegressionModel)}
+
+
 @dataclass
 class TabularModel:
     """A fitted tree model with the feature list it was trained on."""
@@ -148,6 +152,30 @@ class SequenceModel:
         )
 
 
+def save_model(spark: SparkSession, model: TabularModel | SequenceModel, path: str) -> None:
+    """The fitted model, and one Parquet row with its inputs and scaling statistics."""
+    model.model.write().overwrite().save(f"{path}/model")
+    sequence = isinstance(model, SequenceModel)
+    row = (
+        type(model.model).__name__,
+        list(model.features),
+        None if sequence else model.classifies,
+        model.length if sequence else None,
+        model.target if sequence else None,
+        {k: float(v) for k, v in model.stats.items()} if sequence else {},
+    )
+    spark.createDataFrame([row], _SPEC).coalesce(1).write.mode("overwrite").parquet(f"{path}/spec")
+
+
+def load_model(spark: SparkSession, path: str) -> TabularModel | SequenceModel:
+    """What ``save_model`` stored, ready to score."""
+    spec = spark.read.schema(_SPEC).parquet(f"{path}/spec").first()
+    fitted = _FITTED[spec["kind"]].load(f"{path}/model")
+    if spec["length"] is None:
+        return TabularModel(fitted, spec["features"], spec["classifies"])
+    return SequenceModel(fitted, spec["features"], spec["length"], spec["target"], spec["stats"])
+
+
 def batch_statistics(
     numbered: DataFrame, columns: Sequence[str], length: int, total: int, epsilon: float = 1e-8
 ) -> dict[str, float]:

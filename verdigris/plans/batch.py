@@ -6,12 +6,24 @@ restarted job can begin at any layer.
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from verdigris.operators.features import sensor_features
 from verdigris.operators.gold import dim_equipment, dim_time, gold_fact
+from verdigris.operators.mlprep import LABEL, env_label, feature_names
+from verdigris.operators.models import (
+    SequenceParams,
+    TreeParams,
+    load_model,
+    save_model,
+    score_batch,
+    train_forecaster,
+    train_trees,
+)
 from verdigris.operators.quality import table_counts
 from verdigris.operators.semantic import (
     daily_environment_metrics,
@@ -20,6 +32,7 @@ from verdigris.operators.semantic import (
     int_sensor_metrics,
     stg_iot_data,
 )
+from verdigris.operators.sequences import fill_gaps
 from verdigris.operators.silver import build_silver
 from verdigris.schemas import (
     BRONZE_SCHEMA,
@@ -31,18 +44,31 @@ from verdigris.schemas import (
 )
 from verdigris.sources.publish import publish_parquet, verify_counts
 from verdigris.sources.scans import ingest_csv, ingest_json
-from verdigris.sources.sinks import write_parquet
+from verdigris.sources.sinks import register_table, write_parquet
+
+
+# Forecasts the training job fits by default, by the name of their prediction column.
+DEFAULT_SEQUENCES = {
+    "lstm_prediction": SequenceParams(penalty=0.1),
+    "gru_prediction": SequenceParams(penalty=1.0, mix=0.5),
+}
 
 
 @dataclass(frozen=True)
 class Lake:
-    """Folder layout of one lake."""
+    """Folder layout of one lake, and the database that names its tables."""
 
     root: str
+    database: str | None = None
 
     def path(self, layer: str, table: str) -> str:
         return f"{self.root}/{layer}/{table}"
 
+    def register(self, spark: SparkSession, layer: str, table: str, partition_by: Sequence[str] = ()) -> None:
+        """Make a stored table known by name, if the lake has a database."""
+        if self.database:
+            register_table(spark, f"{self.database}.{layer}_{table}", self.path(layer, table), partition_by)
+
 
 def land_bronze(
     spark: SparkSession,
@@ -50,16 +76,21 @@ def land_bronze(
     csv: str | None = None,
     json: str | None = None,
     ingested_at: datetime | None = None,
+    json_lines: bool = False,
 ) -> DataFrame:
-    """Append CSV and JSON sources to bronze. Appending twice is absorbed by silver."""
+    """Append CSV and JSON sources to bronze. Appending twice is absorbed by silver.
+
+    JSON files hold one document each, or ``json_lines``, which can be split.
+    """
     now = ingested_at or datetime.now(timezone.utc)
     path = lake.path("bronze", "iot_data")
     for found in (
         ingest_csv(spark, csv, now) if csv else None,
-        ingest_json(spark, json, ingested_at=now) if json else None,
+        ingest_json(spark, json, ingested_at=now, multi_line=not json_lines) if json else None,
     ):
         if found is not None:
             write_parquet(require_schema(found, BRONZE_SCHEMA), path, "append")
+    lake.register(spark, "bronze", "iot_data")
     return spark.read.parquet(path)
 
 
@@ -67,6 +98,7 @@ def refresh_silver(bronze: DataFrame, lake: Lake, processed_at: datetime | None
     """Rewrite silver from bronze."""
     silver = build_silver(bronze, processed_at=processed_at or datetime.now(timezone.utc))
     path = write_parquet(require_schema(silver, SILVER_SCHEMA), lake.path("silver", "iot_data"))
+    lake.register(bronze.sparkSession, "silver", "iot_data")
     return bronze.sparkSession.read.parquet(path)
 
 
@@ -78,6 +110,9 @@ def refresh_gold(silver: DataFrame, lake: Lake) -> dict[str, DataFrame]:
     write_parquet(dated, lake.path("gold", "iot_data"), partition_by=["partition_day"])
     write_parquet(require_schema(dim_time(silver), DIM_TIME_SCHEMA), lake.path("gold", "dim_time"))
     write_parquet(require_schema(dim_equipment(spark), EQUIPMENT_SCHEMA), lake.path("gold", "dim_equipment"))
+    lake.register(spark, "gold", "iot_data", ["partition_day"])
+    lake.register(spark, "gold", "dim_time")
+    lake.register(spark, "gold", "dim_equipment")
     read = spark.read.parquet
     return {
         "iot_data": read(lake.path("gold", "iot_data")).select(*fact.columns),
@@ -108,8 +143,12 @@ def refresh_semantic(gold: dict[str, DataFrame], lake: Lake) -> dict[str, DataFr
     spark = gold["iot_data"].sparkSession
     models = semantic_models(gold["iot_data"])
 
-    def stored(name: str, df: DataFrame) -> DataFrame:
-        return spark.read.parquet(write_parquet(df, lake.path("semantic", name)))
+    def stored(name: str, df: DataFrame, time: str | None = None) -> DataFrame:
+        by = ["partition_day"] if time else []
+        dated = df.withColumn("partition_day", F.to_date(time)) if time else df
+        path = write_parquet(dated, lake.path("semantic", name), partition_by=by)
+        lake.register(spark, "semantic", name, by)
+        return spark.read.parquet(path)
 
     hourly = stored("int_sensor_metrics", models["int_sensor_metrics"])
     return {
@@ -118,16 +157,62 @@ def refresh_semantic(gold: dict[str, DataFrame], lake: Lake) -> dict[str, DataFr
         "daily_environment_metrics": stored(
             "daily_environment_metrics", daily_environment_metrics(hourly)
         ),
-        "fct_sensor_readings": stored("fct_sensor_readings", models["fct_sensor_readings"]),
-        "dim_sensor_health": stored("dim_sensor_health", models["dim_sensor_health"]),
+        # Date reads of the marts filter on the partition column.
+        "fct_sensor_readings": stored("fct_sensor_readings", models["fct_sensor_readings"], "timestamp_key"),
+        "dim_sensor_health": stored("dim_sensor_health", models["dim_sensor_health"], "timestamp_key"),
     }
 
 
+def feature_series(fact: DataFrame) -> tuple[DataFrame, list[str]]:
+    """Labelled feature rows with ``position`` and no gaps, and all numeric forecast inputs."""
+    features = env_label(sensor_features(fact, position="position"))
+    inputs = [name for name in feature_names(features, target="ph_level") if name != LABEL]
+    return fill_gaps(features, ["ph_level", *inputs], ["position"]), inputs
+
+
+def refresh_features(fact: DataFrame, lake: Lake) -> DataFrame:
+    """Rewrite the stored feature table that training and scoring share."""
+    series, _ = feature_series(fact)
+    return fact.sparkSession.read.parquet(write_parquet(series, lake.path("ml", "features")))
+
+
+def train_models(
+    features: DataFrame,
+    lake: Lake,
+    trees: TreeParams = TreeParams(),
+    sequences: Mapping[str, SequenceParams] | None = None,
+) -> None:
+    """Fit trees and window forecasts on the stored features and save them with their inputs."""
+    inputs = [name for name in feature_names(features, target="ph_level") if name != LABEL]
+    total = features.count()
+    model, _ = train_trees(features, params=trees)
+    save_model(features.sparkSession, model, lake.path("models", "lightgbm_prediction"))
+    for name, params in (sequences or DEFAULT_SEQUENCES).items():
+        fitted, _ = train_forecaster(features, inputs, total, params)
+        save_model(features.sparkSession, fitted, lake.path("models", name))
+
+
+def score_features(
+    features: DataFrame, lake: Lake, sequences: Sequence[str] | None = None, own_stats: bool = False, table: str | None = None
+) -> DataFrame:
+    """Score the stored features with saved models; write path and, if named, table."""
+    spark = features.sparkSession
+    trees = load_model(spark, lake.path("models", "lightgbm_prediction"))
+    loaded = {name: load_model(spark, lake.path("models", name)) for name in sequences or DEFAULT_SEQUENCES}
+    path = write_parquet(score_batch(features, trees, loaded, own_stats=own_stats), lake.path("ml", "predictions"))
+    if table:
+        register_table(spark, table, path)
+    return spark.read.parquet(path)
+
+
 def run_all_layers(
-    spark: SparkSession, root: str, csv: str | None = None, json: str | None = None
+    spark: SparkSession, root: str, csv: str | None = None, json: str | None = None, database: str | None = None
 ) -> DataFrame:
-    """Ingest, cleanse, model, publish; returns the rows of every table written."""
-    lake = Lake(root)
+    """Ingest, cleanse, model, publish; returns the rows of every table written.
+
+    With a ``database`` every stored layer is also a named table over its path.
+    """
+    lake = Lake(root, database)
     bronze = land_bronze(spark, lake, csv, json)
     silver = refresh_silver(bronze, lake)
     gold = refresh_gold(silver, lake)

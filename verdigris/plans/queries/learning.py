@@ -16,6 +16,7 @@ from verdigris.operators.metrics import (
 )
 from verdigris.operators.mlprep import (
     LABEL,
+    SEED,
     class_weights,
     env_label,
     feature_names,
@@ -39,6 +40,7 @@ from verdigris.operators.models import (
     train_trees,
 )
 from verdigris.operators.sequences import fill_gaps, inference_windows, window_weight
+from verdigris.plans.batch import Lake, feature_series, refresh_features, score_features, train_models
 from verdigris.plans.oracle import replace_rounded, round6, round_sql, using
 from verdigris.plans.registry import Tables, query, rounded
 from verdigris.schemas import INDICATORS, MEASURES
@@ -108,13 +110,33 @@ def _(t: Tables):
     return rounded(mean_fill(rows, ["ph_level"]))
 
 
-@query("hash_split")
+def _bucket_sql(seed: int) -> str:
+    text = f"""concat_ws('|', '{seed}', cast(reading_id as varchar), cast("timestamp" as varchar))"""
+    return f"cast('0x' || substr(md5({text}), 1, 8) as bigint) % 1000"
+
+
+@query(
+    "hash_split",
+    using(
+        "base",
+        f"""select {_bucket_sql(SEED)} >= 200 as is_train, {_LABEL_SQL} as {LABEL}, count(*) as n
+            from base group by 1, 2""",
+    ),
+)
 def _(t: Tables):
     rows = hash_split(env_label(t.base), ["reading_id", "timestamp"])
     return rows.groupBy("is_train", LABEL).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("holdout_tail")
+@query(
+    "holdout_tail",
+    using(
+        "base",
+        f"""select is_train, is_train and chosen as is_validation, count(*) as n from (
+            select {_bucket_sql(SEED)} >= 200 as is_train, {_bucket_sql(SEED + 1)} < 200 as chosen from base)
+            group by 1, 2""",
+    ),
+)
 def _(t: Tables):
     key = ["reading_id", "timestamp"]
     rows = holdout(hash_split(env_label(t.base), key), key)
@@ -384,33 +406,37 @@ def _(t: Tables):
 # --- fitted models --------------------------------------------------------------------
 
 
+def _series(t: Tables):
+    """Stored gapless feature rows, the forecast inputs and the number of rows."""
+    series, inputs = feature_series(t.fact)
+    series = materialize(series, "series")
+    return series, inputs, series.count()
+
+
 @query("train_gbt")
 def _(t: Tables):
     """Test metrics of boosted trees on the feature table."""
     features = materialize(env_label(t.features), "features")
-    model, prepared = train_trees(features, params=TreeParams(rounds=10))
+    model, prepared = train_trees(features)
     scored = model.score(prepared.filter("not is_train"), "probability")
     return classification_metrics(scored, LABEL, "probability")
 
 
 @query("train_forecaster")
 def _(t: Tables):
-    """Test error of the window forecast of pH from the other measures."""
-    rows = t.base.select(*ORDER, *MEASURES)
-    series = materialize(fill_gaps(rows, MEASURES, ORDER, position="position"), "series")
-    _, tested = train_forecaster(series, MEASURES, series.count(), SequenceParams(penalty=0.1))
+    """Test error of the window forecast of pH from every other numeric feature."""
+    series, inputs, total = _series(t)
+    _, tested = train_forecaster(series, inputs, total, SequenceParams(penalty=0.1))
     return forecast_metrics(tested, "actual", "predicted")
 
 
 @query("score_batch")
 def _(t: Tables):
     """All feature rows scored by two forecasts and the trees."""
-    features = env_label(sensor_features(t.fact, position="position"))
-    series = materialize(fill_gaps(features, MEASURES, ["position"]), "series")
-    total = series.count()
-    trees, _ = train_trees(series, params=TreeParams(rounds=5))
-    first, _ = train_forecaster(series, MEASURES, total, SequenceParams(penalty=0.1))
-    second, _ = train_forecaster(series, MEASURES, total, SequenceParams(penalty=1.0, mix=0.5))
+    series, inputs, total = _series(t)
+    trees, _ = train_trees(series)
+    first, _ = train_forecaster(series, inputs, total, SequenceParams(penalty=0.1))
+    second, _ = train_forecaster(series, inputs, total, SequenceParams(penalty=1.0, mix=0.5))
     scored = score_batch(series, trees, {"lstm_prediction": first, "gru_prediction": second})
     return scored.drop("inference_timestamp")
 
@@ -433,3 +459,36 @@ def _(t: Tables):
     for step in (1, 2):
         metrics_long(metrics, "persistence", step).write.mode("append").parquet(path)
     return rounded(t.spark.read.parquet(path))
+
+
+@query(
+    "score_saved_models",
+    using(
+        "base",
+        """select count(*) - 24 as scored_rows, cast(0 as bigint) as differing_rows,
+           cast(0 as bigint) as null_predictions from base""",
+    ),
+)
+def _(t: Tables):
+    """Feature, training and scoring jobs through stored features and saved models.
+
+    The scores of the loaded models are compared with those of a model fitted in process.
+    """
+    lake = Lake(scratch_path(t.spark, "lake"))
+    few = TreeParams(rounds=5)  # saving does not depend on their number
+    features = refresh_features(t.fact, lake)
+    sequences = {"lstm_prediction": SequenceParams(penalty=0.1)}
+    train_models(features, lake, few, sequences)
+    stored = score_features(features, lake, list(sequences))
+    _, inputs = feature_series(t.fact)
+    trees, _ = train_trees(features, params=few)
+    first, _ = train_forecaster(features, inputs, features.count(), sequences["lstm_prediction"])
+    here = score_batch(features, trees, {"lstm_prediction": first})
+    key, value = ["reading_id", "timestamp"], F.col("ensemble_avg")
+    both = stored.select(*key, value.alias("a")).join(here.select(*key, value.alias("b")), key, "full")
+    off = F.coalesce(F.abs(F.col("a") - F.col("b")) > 1e-9, F.lit(True))
+    return both.agg(
+        F.count(F.lit(1)).alias("scored_rows"),
+        F.sum(off.cast("bigint")).alias("differing_rows"),
+        F.sum(F.col("a").isNull().cast("bigint")).alias("null_predictions"),
+    )

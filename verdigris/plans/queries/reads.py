@@ -224,10 +224,13 @@ def _(t: Tables):
     return bi.global_bounds(t.fact)
 
 
-@query("sample_head")
+@query(
+    "sample_head",
+    using("fact", "select * exclude (device_id) from fact order by reading_id, timestamp_key limit 5"),
+)
 def _(t: Tables):
-    """Five rows for a quick look; which five is not defined."""
-    return t.fact.limit(5)
+    """Five rows for a quick look, the first by key."""
+    return t.fact.orderBy("reading_id", "timestamp_key").limit(5)
 
 
 @query(

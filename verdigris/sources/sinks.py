@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from verdigris.session import materialize
 from verdigris.sources.scans import union_sources
 
 # Quoting that the CSV scan reads back unchanged, blanks included.
@@ -88,24 +87,33 @@ def write_table(
     return full
 
 
+def register_table(spark: SparkSession, name: str, path: str, partition_by: Sequence[str] = ()) -> str:
+    """Name the Parquet files below ``path``: an external table, replaced if it exists.
+
+    Only an external table is replaced; a table that owns its files is refused.
+    """
+    full = ensure_namespace(spark, name)
+    if spark.catalog.tableExists(full):
+        if spark.catalog.getTable(full).tableType != "EXTERNAL":
+            raise ValueError(f"{full} owns its files")
+        spark.sql(f"DROP TABLE {_quoted(full)}")
+    location = path.replace("'", "\\'")
+    spark.sql(f"CREATE TABLE {_quoted(full)} USING parquet LOCATION '{location}'")
+    if partition_by:
+        spark.sql(f"MSCK REPAIR TABLE {_quoted(full)}")
+    return full
+
+
 def write_layer(
     df: DataFrame, path: str, table: str, mode: str = "overwrite", partition_by: Sequence[str] = ()
 ) -> DataFrame:
-    """Write a layer to its path and its table from one evaluation of the plan.
+    """Write a layer to its path and name it: one copy, so path and table cannot differ.
 
-    The table is loaded from the files just written, so both hold the same clock values
-    and the source plan runs once. Returns the reader of the path.
+    Returns the reader of the path.
     """
-    spark = df.sparkSession
-    if mode == "append" and spark.catalog.tableExists(table):
-        # The path already holds earlier batches, so this one is staged on its own.
-        batch = materialize(df, "batch")
-        write_parquet(batch, path, mode, partition_by)
-        write_table(batch, table, mode, partition_by=partition_by)
-    else:
-        write_parquet(df, path, mode, partition_by)
-        write_table(spark.read.parquet(path), table, partition_by=partition_by)
-    return spark.read.parquet(path)
+    write_parquet(df, path, mode, partition_by)
+    register_table(df.sparkSession, table, path, partition_by)
+    return df.sparkSession.read.parquet(path)
 
 
 def export_csv(df: DataFrame, path: str) -> str:
