@@ -104,6 +104,13 @@ class Tables:
         return number_readings(self.base.select(*ORDER, *columns))
 
 
+    def from_stored_silver(self) -> Tables:
+        """The same tables, every layer above silver starting from silver stored once."""
+        self.silver = self.stored_silver
+        return self
+
+
+BUILDERS: dict[str, Callable[[Tables], DataFrame]] = {}
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -114,6 +121,7 @@ def query(name: str, sql: str | None = None):
     def add(build: Callable[[Tables], DataFrame]):
         if name in QUERIES:
             raise ValueError(f"query registered twice: {name}")
+        BUILDERS[name] = build
         QUERIES[name] = lambda spark, folder: build(Tables(spark, folder))
         if sql is not None:
             ORACLES[name] = sql
