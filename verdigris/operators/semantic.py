@@ -127,24 +127,25 @@ def daily_environment_metrics(hourly: DataFrame) -> DataFrame:
         *[F.sum(f"{n}_optimal_count").alias(f"total_{n}_optimal") for n in _OPTIMAL.values()],
         *[F.sum(n).alias(f"total_{n}") for n in _ACTIVATIONS.values()],
         *[F.avg(f"{n}_optimality_pct").alias(f"avg_{n}_optimality_pct") for n in _OPTIMAL.values()],
+        daily_health_score().alias("daily_health_score"),
     )
     efficiency = pct_round(F.col("total_environment_optimal"), F.col("total_readings"))
     return daily.select(
         "*",
-        daily_health_score().alias("daily_health_score"),
         efficiency.alias("daily_environment_efficiency_pct"),
     ).orderBy(F.desc("reading_date"))
 
 
 def daily_health_score() -> Column:
-    """Mean of the four optimality averages, two decimals, half up.
+    """Mean of the four optimality averages of a day's hours, two decimals, half up.
 
-    Averages of two-decimal shares often lie exactly on a rounding tie, where the order
-    of summation would decide. With at most 24 hours a day any other value is further
-    than ``1e-5`` from a tie, so the small term only settles ties.
+    Hourly shares have two decimals, so the sum is taken in whole hundredths and rounded
+    once: exact, whatever the order of summation.
     """
-    parts = [F.col(f"avg_{n}_optimality_pct") for n in ("ph", "tds", "temp", "humidity")]
-    return F.round((parts[0] + parts[1] + parts[2] + parts[3]) / 4 + F.lit(1e-9), 2)
+    parts = [F.round(100 * F.col(f"{n}_optimality_pct")).cast("bigint") for n in ("ph", "tds", "temp", "humidity")]
+    total = F.sum(parts[0] + parts[1] + parts[2] + parts[3])
+    four = 4 * F.count(parts[0])
+    return (F.floor((2 * total + four) / (2 * four)) / 100).cast("double")
 
 
 def fct_sensor_readings(staged: DataFrame, time_dimension: DataFrame | None = None) -> DataFrame:

@@ -182,9 +182,7 @@ _table(
 )
 _table(
     "daily",
-    "select *, round((avg_ph_optimality_pct + avg_tds_optimality_pct + avg_temp_optimality_pct"
-    " + avg_humidity_optimality_pct) / 4 + 1e-9, 2) as daily_health_score,"
-    " round(cast(total_environment_optimal as double) / total_readings * 100, 2)"
+    "select *, round(cast(total_environment_optimal as double) / total_readings * 100, 2)"
     " as daily_environment_efficiency_pct from (select reading_date, "
     + ", ".join(f"avg(avg_{n}) as daily_avg_{n}" for n in _MEANS)
     + ", "
@@ -195,6 +193,10 @@ _table(
     + ", ".join(f"cast(sum({n}) as bigint) as total_{n}" for n in _ON.values())
     + ", "
     + ", ".join(f"avg({n}_optimality_pct) as avg_{n}_optimality_pct" for n in _OPTIMAL)
+    # Whole hundredths, rounded half up once.
+    + ", ((2 * sum("
+    + " + ".join(f"cast(round(100 * {n}_optimality_pct) as bigint)" for n in ("ph", "tds", "temp", "humidity"))
+    + ") + 4 * count(*)) // (8 * count(*))) / 100.0 as daily_health_score"
     + " from hourly group by reading_date)",
     "hourly",
 )
