@@ -33,11 +33,12 @@ from verdigris.session import materialize
 
 SCALE = 256
 MOST = 1 << 26
-MAX_PIVOTS = 64  # for each vector length
+MAX_PIVOTS = 16  # for each vector length
 SAMPLE = 1_024  # rows whose scores bound the searches, for each vector length
-SHARD_ROWS = 8_192
-PAGE = 48  # entries of a page
+SHARD_ROWS = 4_096
+PAGE = 512  # entries of a page
 QUERY_BLOCK = 2_048
+EXACT_SINGLE = 1 << 22  # no product of two vectors is larger than the longest one's square
 MAX_LENGTHS = 64
 _PAGES = "dim int, shard string, page int, leaf boolean, kids array<long>, gaps array<double>, radii array<double>, least array<long>, vectors binary"
 
@@ -80,18 +81,11 @@ class _Builder:
         return len(self.pages) - 1
 
     def _split(self, rows: np.ndarray) -> list[np.ndarray]:
-        """Parts around spread-out pivots; equal points are cut by id."""
+        """Parts around pivots taken evenly from the rows; equal points are cut by id."""
         ways = min(PAGE, max(2, -(-len(rows) // PAGE)))
-        near = np.full(len(rows), np.inf)
-        owner = np.zeros(len(rows), int)
-        pick = 0
-        for way in range(ways):
-            gap = _gap(self.points[rows], self.points[rows[pick]])
-            closer = gap < near
-            owner[closer], near = way, np.minimum(near, gap)
-            pick = int(np.argmax(near))
-            if near[pick] == 0:
-                break
+        pivots = self.points[rows[np.linspace(0, len(rows) - 1, ways).astype(int)]]
+        # All points have one length, so the nearest pivot has the largest product.
+        owner = np.argmax(self.points[rows] @ pivots.T, axis=1)
         parts = [rows[owner == way] for way in range(ways)]
         parts = [p for p in parts if len(p)]
         if len(parts) == 1:
@@ -142,11 +136,14 @@ class _Tree:
         self.gaps = [np.asarray(x, np.float64) for x in frame["gaps"]]
         self.radii = [np.asarray(x, np.float64) for x in frame["radii"]]
         self.least = [np.asarray(x, np.int64) for x in frame["least"]]
-        self.vectors = [np.frombuffer(x, "<i4").reshape(-1, dim).astype(np.float64) for x in frame["vectors"]]
+        # Sums of integer products stay exact in single precision below 2^24.
+        self.kind = np.float32 if reach < EXACT_SINGLE else np.float64
+        self.vectors = [np.frombuffer(x, "<i4").reshape(-1, dim).astype(self.kind) for x in frame["vectors"]]
 
     def search(self, own: int, query: np.ndarray, k: int, floor: float) -> list[tuple[int, int]]:
         """(score, id) of the k best rows, those below ``floor`` left out."""
         length = float(query @ query)
+        asked = query.astype(self.kind)
         both = length + self.reach
         margin = 2e-7 * both + 0.01
         found: list[tuple[int, int]] = []  # heap of (score, -id), worst first
@@ -166,7 +163,8 @@ class _Tree:
                 open_ = np.flatnonzero(np.abs(far - gaps) - radii <= widest + margin)
             if not len(open_):
                 continue
-            scores = vectors[open_] @ query
+            near = vectors if len(open_) == len(kids) else vectors[open_]
+            scores = (near @ asked).astype(np.float64)
             if self.leaf[page]:
                 good = scores >= worst
                 for score, name in zip(scores[good].tolist(), kids[open_[good]].tolist(), strict=True):
