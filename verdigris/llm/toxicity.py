@@ -214,14 +214,16 @@ def with_features(docs: DataFrame, lexicon: Lexicon, text: str = "text") -> Data
 def labelled_sample(docs: DataFrame, labels: DataFrame, max_rows: int) -> DataFrame:
     """(key, text, label, weight, part) of a bounded sample; parts are 0.4, 0.4 and 0.2."""
     known = labels.select(F.col("key").cast("string").alias("key"), F.col("label").cast("int").alias("label"))
+    # A repeated label is one row with its number of times, so the sample is bounded by documents.
     known = known.filter("key is not null and label in (0, 1)")
+    known = known.groupBy("key", "label").agg(F.count(F.lit(1)).alias("times"))
     sizes = {r["label"]: r["count"] for r in known.groupBy("label").count().collect()}
     sample = sample_per_label(known, "label", F.col("key"), max_rows, 2)
     share = {k: min(1.0, max_rows / len(sizes) / n) for k, n in sizes.items()}
     weight = F.when(F.col("label") == 1, F.lit(1 / share.get(1, 1.0))).otherwise(F.lit(1 / share.get(0, 1.0)))
     draw = uniform(F.lit(SEED), F.col("key"))
     part = F.when(draw < 0.4, 0).when(draw < 0.8, 1).otherwise(2)
-    sample = sample.select("key", "label", weight.alias("weight"), part.alias("part"))
+    sample = sample.select("key", "label", (weight * F.col("times")).alias("weight"), part.alias("part"))
     texts = docs.select(F.col("key").cast("string").alias("key"), "text")
     # At most about ``max_rows`` rows of a few bytes.
     return texts.join(F.broadcast(sample), "key")
