@@ -52,17 +52,12 @@ def grams_of(word: str, n: int) -> list[str]:
 class LanguageModel:
     """Log frequencies of words and n-grams in each language, one matrix row for each."""
 
-    def __init__(self, languages: list[str], counts: dict[int, dict[str, dict[str, int]]]):
-        """``counts``: n (0 for words) to gram to language to count."""
+    def __init__(self, languages: list[str], counts: dict[int, tuple[list[str], np.ndarray]]):
+        """``counts``: n (0 for words) to grams and their counts, a column for each language."""
         self.languages = languages
         self.rows: dict[int, dict[str, int]] = {}
-        column = {name: i for i, name in enumerate(languages)}
         parts, start = [np.zeros((0, len(languages)))], 0
-        for n, grams in counts.items():
-            found = np.zeros((len(grams), len(languages)))
-            for row, by_language in enumerate(grams.values()):
-                for name, count in by_language.items():
-                    found[row, column[name]] = count
+        for n, (grams, found) in counts.items():
             smoothed = found + SMOOTHING
             parts.append(np.log(smoothed / smoothed.sum(axis=0)))
             self.rows[n] = {gram: start + i for i, gram in enumerate(grams)}
@@ -181,11 +176,14 @@ def fit(
         )
     )
     counted = materialize(counted, "grams")
-    counts: dict[int, dict[str, dict[str, int]]] = {}
-    for n in range(LONGEST + 1):
+    languages = sorted(r[0] for r in counted.select(F.explode(F.map_keys("by_lang"))).distinct().collect())
+    by_column = F.transform(F.array(*map(F.lit, languages)), lambda name: F.coalesce(F.col("by_lang")[name], F.lit(0)))
+    counts = {}
+    for n in range(LONGEST + 1) if languages else ():
         best = counted.filter(F.col("n") == n).orderBy(F.desc("total"), "gram").limit(max_grams if n else max_words)
-        counts[n] = {r.gram: dict(r.by_lang) for r in best.select("gram", "by_lang").collect()}
-    languages = sorted({name for grams in counts.values() for by in grams.values() for name in by})
+        rows = best.select("gram", by_column.alias("counts")).collect()
+        counts[n] = ([r.gram for r in rows], np.array([r.counts for r in rows], np.float64).reshape(-1, len(languages)))
+        del rows  # one table at a time is in the driver's memory as rows
     return LanguageModel(languages, counts)
 
 

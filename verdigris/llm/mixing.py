@@ -171,7 +171,8 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str
     taken = materialize(taken.withColumnRenamed("_taken", number), "taken")
     tagged = docs.withColumn(own, row_hash(docs))
     # Wholly equal rows are one group; it appears as often as its rows were taken together.
+    # The rank filter also runs before the shuffle, so each task sends such a row once.
     alike = Window.partitionBy(own).orderBy(F.lit(0))
-    once = tagged.join(taken, own).withColumn(copy, F.row_number().over(alike)).filter(F.col(copy) == 1)
-    repeated = once.withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.col(number))))
+    once = tagged.withColumn(copy, F.row_number().over(alike)).filter(F.col(copy) == 1)
+    repeated = once.join(taken, own).withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.col(number))))
     return repeated.drop(own, number, copy)

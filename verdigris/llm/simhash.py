@@ -141,6 +141,11 @@ def _who(*columns):
     return F.struct(columns[0].isNull().alias("none"), *columns)
 
 
+def _name(key: Column) -> Column:
+    """The key as text that also tells null apart, so that one plain column joins and groups."""
+    return F.when(key.isNull(), "").otherwise(F.concat(F.lit("="), key.cast("string")))
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, fp, component_id), one row for each row of ``docs``."""
     name = F.col(key).alias("doc_id")
@@ -155,7 +160,7 @@ def fingerprint_text(fp):
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row of each component, that of the smallest id (then text hash), all columns kept."""
-    row_hash, place = unused(docs, "_hash", "_place")
+    row_hash, place, name = unused(docs, "_hash", "_place", "_name")
     content = F.xxhash64(F.col(text), *[F.col(f"`{c}`") for c in docs.columns])
     slim = docs.select(F.col(key).alias("doc_id"), content.alias("hash"), _once(F.col(text)).alias("fp"))
     slim = materialize(slim.withColumn("who", _who(F.col("doc_id"), F.col("hash"))), "fingerprints")
@@ -163,15 +168,12 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     kept = (
         points.join(linked.withColumnRenamed("best", "linked"), "fp", "left")
         .filter("linked is null or linked = best")
-        .select(F.col("best.doc_id").alias(key + "__"), F.col("best.hash").alias(row_hash))
+        .select(_name(F.col("best.doc_id")).alias(name), F.col("best.hash").alias(row_hash))
     )
     kept = materialize(kept, "kept")
-    tagged = docs.withColumn(row_hash, content)
-    chosen = tagged.join(
-        kept, tagged[key].eqNullSafe(kept[key + "__"]) & (tagged[row_hash] == kept[row_hash]), "left_semi"
-    )
-    # Wholly equal rows share id and hash; the first of them stays.
-    alike = Window.partitionBy(F.col(key), F.col(row_hash)).orderBy(F.lit(0))
-    return (
-        chosen.withColumn(place, F.row_number().over(alike)).filter(F.col(place) == 1).drop(place, row_hash)
-    )
+    # Wholly equal rows share id and hash; the first of them stays. The rank filter also runs
+    # before the shuffle, so a row that repeats very often leaves each task once.
+    alike = Window.partitionBy(name, row_hash).orderBy(F.lit(0))
+    tagged = docs.withColumns({row_hash: content, name: _name(F.col(key))})
+    once = tagged.withColumn(place, F.row_number().over(alike)).filter(F.col(place) == 1)
+    return once.join(kept, [name, row_hash], "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
