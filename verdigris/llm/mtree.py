@@ -87,11 +87,13 @@ class _Builder:
         # All points have one length, so the nearest pivot has the largest product.
         owner = np.argmax(self.points[rows] @ pivots.T, axis=1)
         parts = [rows[owner == way] for way in range(ways)]
-        parts = [p for p in parts if len(p)]
-        if len(parts) == 1:
-            step = -(-len(rows) // ways)
-            parts = [rows[i : i + step] for i in range(0, len(rows), step)]
-        return parts
+        # A part with most of the rows (equal or very dense points) is cut by id instead, so
+        # that the depth stays logarithmic and pages stay full.
+        step, cut = -(-len(rows) // ways), []
+        for part in parts:
+            whole = 2 * len(part) <= len(rows)
+            cut += [part] if whole else [part[i : i + step] for i in range(0, len(part), step)]
+        return [p for p in cut if len(p)]
 
     def build(self, rows: np.ndarray, depth: int = 0) -> tuple[int, int, float]:
         """Page number, row of the routing vector and covering radius."""
