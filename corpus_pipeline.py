@@ -14,6 +14,8 @@ from verdigris.llm.common import fold, table
 from verdigris.session import materialize
 
 LEAST_SCORE = 0.5
+# Nearly equal texts only; the README gives the recall by similarity.
+SHINGLE, RADIUS = 3, 3
 SHARDS = 8
 
 
@@ -25,7 +27,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: that of the smallest doc_id."""
-    return simhash.keep_one(docs)
+    return simhash.keep_one(docs, shingle=SHINGLE, radius=RADIUS)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -70,7 +70,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op5_simhash")
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    linked = simhash.near_duplicates(table(spark, folder, "documents"))
+    linked = simhash.near_duplicates(table(spark, folder, "documents"), shingle=3, radius=3)
     return linked.select("doc_id", simhash.fingerprint_text(F.col("fp")).alias("fingerprint"), "component_id")
 
 
