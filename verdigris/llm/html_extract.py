@@ -8,7 +8,9 @@ it if there is one, together with siblings that score near it or look like parag
 
 Menus, page headers, footers, sidebars, notices, adverts, forms and reader comments are
 left out by element, role, class or id before any scoring; scripts, styles and comments are
-never text.
+never text. Within an article or main element a class or id has to name such a part as a
+whole (``comments``, ``cookie-notice``, ``share-buttons``): ids made of headings
+(``search-algorithms``, ``football``) only begin like one.
 
 Defined cases: null or empty HTML gives an empty text; unclosed and misnested elements are
 closed where their block ends; an unclosed script or comment runs to the end of the page;
@@ -30,18 +32,20 @@ from verdigris.llm.common import without
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s "
-    "samp small span strike strong sub sup time tt u var wbr br".split()
+    "samp small span strike strong sub sup time tt u var wbr br "
+    "math semantics mrow mi mn mo ms mtext mspace mfrac msqrt mroot mstyle merror mpadded mphantom msub msup msubsup "
+    "munder mover munderover mmultiscripts mprescripts mtable mtr mtd menclose maction annotation annotation-xml".split()
 )
 CLOSES_ITSELF = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}, "option": {"select"}}
 LEFT_OUT = frozenset(
-    "head nav footer aside form button select menu dialog iframe object canvas figcaption fieldset".split()
+    "head nav footer aside form button select menu dialog iframe object canvas fieldset annotation annotation-xml".split()
 )
 LEFT_OUT_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 BONUS = {"article": 25, "main": 15, "div": 5, "section": 3, "td": 3, "blockquote": 3, "pre": 3, "ul": -3, "ol": -3, "dl": -3, "li": -3, "table": 0}
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|svg|math|textarea)\b(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+>.*?(?:</\1\s*>|\Z)"
+    r"|<(script|style|template|svg|textarea)\b(?:[^>\"']++|\"[^\"]*\"|'[^']*')*+>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>"
     r"|<(/?)([a-z][^\s/>]*)([^>]*)>"
     r"|<[!?/][^>]*>",
@@ -56,6 +60,17 @@ _UNLIKELY = re.compile(
     r"comments?\w*|respond|replies|disqus\w*|skip-?link)(?:$|[\s_-])",
     re.I,
 )
+_PART = (
+    r"(?:ads?|advert(?:s|isements?|ising)?|adsense|banners?|sponsor(?:s|ed)?|promo(?:s|tions?)?|side-?bar|nav(?:igation)?|"
+    r"menus?|breadcrumbs?|footer|header|masthead|cookies?|consent|gdpr|notices?|popup|modal|overlay|shar(?:e|ing)|sharedaddy|"
+    r"social|related|recommend(?:ed|ations?)|newsletter|subscribe|login|signup|search|pager|pagination|widgets?|toolbar|"
+    r"comments?|respond|replies|disqus|skip-?link)"
+)
+_AROUND = (
+    r"(?:site|page|post|entry|main|article|top|bottom|left|right|inner|outer|mobile|box|bar|block|list|section|container|"
+    r"wrap(?:per)?|area|links?|buttons?|icons?|form|thread|posts|articles|content|title|widget|unit|slot|[0-9]+)"
+)
+_WHOLE_NAME = re.compile(rf"(?:{_AROUND}[_-]?){{0,3}}{_PART}(?:[_-]?(?:{_PART}|{_AROUND})){{0,4}}")
 _LIKELY_TOKENS = frozenset("article content main post entry story".split())
 _COMMAS = re.compile("[,،、，]")
 _CONTAINERS_ANYWAY = frozenset("html body article main".split())
@@ -74,8 +89,15 @@ class _Node:
         return (self.score + BONUS.get(self.tag, 0)) * (1 - density)
 
 
-def _left_out(tag: str, attributes: str, inside_article: bool) -> bool:
-    if tag in LEFT_OUT or (tag == "header" and not inside_article):
+def _names_other_part(value: str, inside: bool) -> bool:
+    """Whether a class or id names a part that is not main text; ``inside`` an article by whole names only."""
+    if inside:
+        return any(_WHOLE_NAME.fullmatch(name) for name in value.split())
+    return bool(_UNLIKELY.search(value))
+
+
+def _left_out(tag: str, attributes: str, inside_article: bool, inside_main: bool) -> bool:
+    if tag in LEFT_OUT or (tag in ("header", "noscript") and not inside_article):
         return True
     if not attributes or tag in _CONTAINERS_ANYWAY:
         return False
@@ -85,7 +107,8 @@ def _left_out(tag: str, attributes: str, inside_article: bool) -> bool:
         name, value = name.lower(), value.strip("\"'").lower()
         if name == "role" and value in LEFT_OUT_ROLES or name == "aria-hidden" and value == "true":
             return True
-        if name in ("class", "id") and _UNLIKELY.search(value) and not _LIKELY_TOKENS.intersection(value.split()):
+        unlikely = name in ("class", "id") and _names_other_part(value, inside_article or inside_main)
+        if unlikely and not _LIKELY_TOKENS.intersection(value.split()):
             # An article's own heading may call itself a header.
             if not (inside_article and (tag in _HEADINGS or tag == "header")):
                 return True
@@ -97,7 +120,7 @@ def _blocks(html: str) -> list[tuple[_Node, _Node, str]]:
     root = _Node("", None, True)
     stack, blocks = [root], []
     text: list[str] = []
-    in_link = articles = linked = 0
+    in_link = articles = mains = linked = 0
 
     def flush() -> None:
         nonlocal linked
@@ -111,10 +134,11 @@ def _blocks(html: str) -> list[tuple[_Node, _Node, str]]:
         linked = 0
 
     def close(upto: int) -> None:
-        nonlocal in_link, articles
+        nonlocal in_link, articles, mains
         for node in stack[upto:]:
             in_link -= node.tag == "a"
             articles -= node.tag == "article"
+            mains -= node.tag == "main"
         del stack[upto:]
 
     def add(piece: str) -> None:
@@ -166,10 +190,11 @@ def _blocks(html: str) -> list[tuple[_Node, _Node, str]]:
                 close(ended)
         parent = stack[-1]
         attributes = token[4] or token[7] or ""
-        kept = parent.kept and not _left_out(tag, attributes, articles > 0)
+        kept = parent.kept and not _left_out(tag, attributes, articles > 0, mains > 0)
         stack.append(_Node(tag, parent, kept))
         in_link += tag == "a"
         articles += tag == "article"
+        mains += tag == "main"
         if attributes.endswith("/") and tag not in INLINE and tag not in ("p", "div", "section", "article", "body"):
             close(len(stack) - 1)
     if at < len(html):
@@ -217,7 +242,7 @@ def main_text(html: str | None) -> str:
             best = node
             break
     kept = [best]
-    if best.parent is not None and best.tag not in ("article", "main", "body", "html"):
+    if best.parent is not None and best.tag not in ("body", "html"):
         near = max(10.0, 0.2 * best.final())
         siblings: dict[int, tuple[_Node, int, str]] = {}
         for own, _, words in blocks:
