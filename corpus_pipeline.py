@@ -21,7 +21,7 @@ SHARDS = 8
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a learned language; those without letters or with an unclear language go."""
-    model = language_id.fit(docs.filter(fold("doc_id", 3) != 1))
+    model = language_id.fit(docs.filter(fold("doc_id", 3) != 1), by_prior=True)
     return language_id.keep_confident(docs, model, LEAST_SCORE)
 
 

@@ -5,13 +5,16 @@ back to its 5-grams; if none of them was seen to its 4-grams, and so on down to
 letters. The sum over a text's words gives the posterior of each language.
 
 The classifier is fitted on a sample of labelled rows: at most about ``max_docs`` in
-expectation, the same number for each language where it has so many, chosen by a hash. The
-``max_words`` most frequent words and ``max_grams`` most frequent n-grams of each length
-are kept, so the broadcast model has a bounded size.
+expectation, the same number for each language where it has so many, chosen by a hash. At
+most ``max_words`` words and ``max_grams`` n-grams of each length are kept, so the broadcast
+model has a bounded size. Where there are more, each language keeps its own most frequent
+ones in an equal share; what a language leaves of its share goes to the others, and a gram
+of several languages counts in the share of each that chose it.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0; a text whose
-words and letters were all unseen is ``und`` as well; ties go to the alphabetically first
-language; without any labelled row every text is ``und``. Columns of the input that carry
+words and letters were all unseen gets the most frequent label, scored by its share of the
+labelled rows, if the model is fitted with ``by_prior``, otherwise it is ``und`` as well;
+ties go to the alphabetically first language; without any labelled row every text is ``und``. Columns of the input that carry
 the name of an output are replaced.
 """
 
@@ -26,6 +29,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from verdigris.llm.common import uniform, unused, without
+from verdigris.operators.ordering import number_rows
 from verdigris.session import materialize
 
 UNKNOWN = "und"
@@ -52,9 +56,18 @@ def grams_of(word: str, n: int) -> list[str]:
 class LanguageModel:
     """Log frequencies of words and n-grams in each language, one matrix row for each."""
 
-    def __init__(self, languages: list[str], counts: dict[int, tuple[list[str], np.ndarray]]):
-        """``counts``: n (0 for words) to grams and their counts, a column for each language."""
+    def __init__(
+        self, languages: list[str], counts: dict[int, tuple[list[str], np.ndarray]], prior: list[float] | None = None
+    ):
+        """``counts``: n (0 for words) to grams and their counts, a column for each language.
+
+        ``prior``: share of each language, which judges texts with unseen letters only.
+        """
         self.languages = languages
+        self.unseen = (UNKNOWN, 0.0)
+        if prior:
+            best = int(np.argmax(prior))
+            self.unseen = (languages[best], float(prior[best]))
         self.rows: dict[int, dict[str, int]] = {}
         parts, start = [np.zeros((0, len(languages)))], 0
         for n, (grams, found) in counts.items():
@@ -99,12 +112,12 @@ class LanguageModel:
         np.add.at(totals, of_text, by_word[used] * weight[:, None])
         scored = np.bincount(of_text, weights=lengths[used] > 0, minlength=len(texts)) > 0
         out = []
-        for total, known in zip(totals, scored, strict=True):
+        for total, known, size in zip(totals, scored, sizes, strict=True):
             if known:
                 best = int(np.argmax(total))
                 out.append((self.languages[best], float(1.0 / np.exp(total - total[best]).sum())))
             else:
-                out.append((UNKNOWN, 0.0))
+                out.append(self.unseen if size else (UNKNOWN, 0.0))
         return out
 
 
@@ -139,17 +152,56 @@ def _count_grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 yield pd.DataFrame(rows, columns=["lang", "n", "gram", "count"])
 
 
-def sample_per_label(rows: DataFrame, label: str, key: Column, bound: int, most_labels: int) -> DataFrame:
-    """About ``bound`` rows in expectation, dealt evenly over the labels, chosen by hash of ``key``."""
+def label_sizes(rows: DataFrame, label: str, most_labels: int) -> dict:
     sizes = {r[0]: r[1] for r in rows.groupBy(label).count().limit(most_labels + 1).collect()}
     if len(sizes) > most_labels:
         raise ValueError(f"more than {most_labels} labels in {label}")
+    return sizes
+
+
+def sample_per_label(
+    rows: DataFrame, label: str, key: Column, bound: int, most_labels: int, sizes: dict | None = None
+) -> DataFrame:
+    """About ``bound`` rows in expectation, dealt evenly over the labels, chosen by hash of ``key``."""
+    if sizes is None:
+        sizes = label_sizes(rows, label, most_labels)
     share = F.lit(0.0)
     for name, size in sizes.items():
         share = F.when(F.col(label) == F.lit(name), F.lit(bound / len(sizes) / size)).otherwise(share)
     return rows.filter(uniform(key) < share)
 
 
+def equal_shares(sizes: dict[str, int], bound: int) -> dict[str, int]:
+    """How many of its ``sizes`` each may keep: equally many, what one leaves going to the others."""
+    shares, left = {}, bound
+    for i, (name, size) in enumerate(sorted(sizes.items(), key=lambda item: (item[1], item[0]))):
+        shares[name] = min(size, left // (len(sizes) - i))
+        left -= shares[name]
+    return shares
+
+
+def _kept_grams(by_lang: DataFrame, counted: DataFrame, languages: list[str], bounds: dict[int, int]) -> DataFrame:
+    """Rows of ``counted`` (n, gram, ...) within ``bounds``; ``by_lang`` is (n, gram, lang, count)."""
+    distinct = {r["n"]: r["count"] for r in counted.groupBy("n").count().collect()}
+    if all(size <= bounds[n] for n, size in distinct.items()):
+        return counted
+    sizes = {(r["n"], r["lang"]): r["count"] for r in by_lang.groupBy("n", "lang").count().collect()}
+    # Places in the order of n, language, falling count; one row for each n and language.
+    ends, start = [], 0
+    for n in sorted(distinct):
+        own = {name: sizes.get((n, name), 0) for name in languages}
+        shares = own if distinct[n] <= bounds[n] else equal_shares(own, bounds[n])
+        for code, name in enumerate(languages):
+            ends.append((n, code, start + shares[name]))
+            start += own[name]
+    codes = F.create_map(*[F.lit(x) for code, name in enumerate(languages) for x in (name, code)])
+    ordered = by_lang.select("n", codes[F.col("lang")].alias("code"), (-F.col("count")).alias("rarity"), "gram")
+    placed = number_rows(ordered, ["n", "code", "rarity", "gram"], "position")
+    limits = by_lang.sparkSession.createDataFrame(ends, "n int, code int, end long")
+    chosen = placed.join(F.broadcast(limits), ["n", "code"]).filter("position < end").select("n", "gram").distinct()
+    return materialize(counted.join(chosen, ["n", "gram"], "left_semi"), "kept-grams")
+
+
 def fit(
     labelled: DataFrame,
     text: str = "text",
@@ -158,33 +210,34 @@ def fit(
     max_docs: int = MAX_DOCS,
     max_words: int = MAX_WORDS,
     max_grams: int = MAX_GRAMS,
+    by_prior: bool = False,
 ) -> LanguageModel:
     rows = labelled.select(
         F.col(text).alias("text"), F.col(lang).alias("lang"), F.col(key).cast("string").alias("key")
     ).filter("text is not null and lang is not null")
-    sample = sample_per_label(rows, "lang", F.col("key"), max_docs, MAX_LANGUAGES)
-    counted = (
+    sizes = label_sizes(rows, "lang", MAX_LANGUAGES)
+    sample = sample_per_label(rows, "lang", F.col("key"), max_docs, MAX_LANGUAGES, sizes)
+    by_lang = (
         sample.select("text", "lang")
         .mapInPandas(_count_grams, "lang string, n int, gram string, count long")
         .groupBy("n", "gram", "lang")
         .agg(F.sum("count").alias("count"))
-        .groupBy("n", "gram")
-        .agg(
-            F.sum("count").alias("total"),
-            # At most one entry for each language.
-            F.map_from_entries(F.collect_list(F.struct("lang", "count"))).alias("by_lang"),
-        )
     )
-    counted = materialize(counted, "grams")
-    languages = sorted(r[0] for r in counted.select(F.explode(F.map_keys("by_lang"))).distinct().collect())
+    by_lang = materialize(by_lang, "grams")
+    # At most one entry for each language.
+    counted = by_lang.groupBy("n", "gram").agg(F.map_from_entries(F.collect_list(F.struct("lang", "count"))).alias("by_lang"))
+    counted = materialize(counted, "counted")
+    languages = sorted(r[0] for r in by_lang.select("lang").distinct().collect())
+    bounds = {n: max_grams if n else max_words for n in range(LONGEST + 1)}
+    kept = _kept_grams(by_lang, counted, languages, bounds) if languages else counted
     by_column = F.transform(F.array(*map(F.lit, languages)), lambda name: F.coalesce(F.col("by_lang")[name], F.lit(0)))
     counts = {}
     for n in range(LONGEST + 1) if languages else ():
-        best = counted.filter(F.col("n") == n).orderBy(F.desc("total"), "gram").limit(max_grams if n else max_words)
-        rows = best.select("gram", by_column.alias("counts")).collect()
+        rows = kept.filter(F.col("n") == n).orderBy("gram").select("gram", by_column.alias("counts")).collect()
         counts[n] = ([r.gram for r in rows], np.array([r.counts for r in rows], np.float64).reshape(-1, len(languages)))
         del rows  # one table at a time is in the driver's memory as rows
-    return LanguageModel(languages, counts)
+    taught = sum(sizes[name] for name in languages)
+    return LanguageModel(languages, counts, [sizes[name] / taught for name in languages] if by_prior else None)
 
 
 def identify(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:

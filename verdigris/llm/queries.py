@@ -56,7 +56,7 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 def _(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
     held_out = fold("doc_id", 3) == 1
-    model = language_id.fit(docs.filter(~held_out))
+    model = language_id.fit(docs.filter(~held_out), by_prior=True)
     return language_id.identify(docs.select("doc_id", "text"), model).select(
         "doc_id", held_out.alias("held_out"), "lang_pred", "score"
     )
