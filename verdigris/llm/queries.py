@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from verdigris.llm import (
+    bpe,
     decontaminate,
     html_extract,
     language_id,
@@ -15,6 +16,7 @@ from verdigris.llm import (
     pu_quality,
     sharding,
     simhash,
+    spelling,
     toxicity,
     url_reputation,
 )
@@ -134,3 +136,26 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
     held_out = fold("key", 3) == 1
     positives = labels.filter(~held_out & (F.col("quality") == 1)).select("key")
     return _scored(pu_quality.score_quality(docs, positives), held_out)
+
+
+@query("op11_bpe")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    vocabulary = bpe.load(public_tokenizers.path("byte_bpe_50k.json"))
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    both = bpe.decode(bpe.encode(docs, vocabulary), vocabulary)
+    return both.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        bpe.ids_sha256(F.col("ids")).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+@query("op13_spelling_variants")
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return spelling.group_variants(spelling.count_words(docs)).select(
+        "word", "form", "root", "n", "n_near", "form_n"
+    )
