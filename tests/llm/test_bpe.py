@@ -109,8 +109,12 @@ def test_odd_rows(spark, clashing_docs, no_docs, vocabulary, library):
         assert row.ids == library.encode(row.text or "", add_special_tokens=False).ids
         assert row.decoded == (row.text or "")
     assert bpe.decode(bpe.encode(no_docs, vocabulary), vocabulary).count() == 0
-    empty = spark.createDataFrame([(None,), ([],)], "ids array<int>")
-    assert [r.decoded for r in bpe.decode(empty, vocabulary).collect()] == ["", ""]
+    lists = spark.createDataFrame([(None,), ([],), ([64, None, 64, -5],)], "ids array<int>")
+    assert [r.decoded for r in bpe.decode(lists, vocabulary).collect()] == ["", "", "aa"]
+    packed = bpe.decode(bpe.encode(docs, vocabulary, packed=True), vocabulary).collect()
+    assert [(r.text or "", 4 * len(library.encode(r.text or "", add_special_tokens=False).ids)) for r in packed] == [
+        (r.decoded, len(r.ids)) for r in packed
+    ]
 
 
 def test_rules_out_of_order_are_refused(tmp_path, vocabulary):

@@ -25,7 +25,6 @@ replaced, all others are kept.
 from __future__ import annotations
 
 import codecs
-import hashlib
 import heapq
 import json
 from collections.abc import Iterable, Iterator
@@ -34,14 +33,16 @@ from itertools import islice
 import numpy as np
 import pandas as pd
 import regex
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from verdigris.llm.common import without
+from verdigris.llm.language_id import slices
 
 # The byte-level piece pattern.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 RUN_PIECES = 200_000
-KNOWN_BYTES = 128 << 20
+KNOWN_BYTES = 96 << 20
+DECODED_ROWS = 500
 _GONE = -1
 
 
@@ -209,17 +210,12 @@ def load(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
-def encoded(spark: SparkSession, vocabulary: Vocabulary, text: Column) -> Column:
-    """The ids of a text column: an array of integers, never null."""
-    shared = spark.sparkContext.broadcast(vocabulary)
-
-    @F.pandas_udf("array<int>")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encoder = Encoder(shared.value)
-        for batch in batches:
-            yield pd.Series([ids.view("<i4") for ids in encoder.encode(batch)], dtype=object)
-
-    return run.asNondeterministic()(text)  # not to be evaluated again below a filter
+def _ids_of(stored) -> np.ndarray:
+    """Ids of a stored list or packed string of bytes, with -1 for null ids."""
+    if isinstance(stored, bytes):
+        return np.frombuffer(stored, "<u4").astype(np.int64)
+    ids = np.asarray(stored, np.float64)
+    return np.where(np.isnan(ids), -1, ids).astype(np.int64)
 
 
 def _joined(tokens: dict[int, bytes], ids: np.ndarray) -> str:
@@ -231,35 +227,34 @@ def _joined(tokens: dict[int, bytes], ids: np.ndarray) -> str:
     return "".join(parts) + reader.decode(b"", True)
 
 
-def decoded(spark: SparkSession, vocabulary: Vocabulary, ids: Column) -> Column:
-    """The text of a column of ids; special tokens are written out."""
-    shared = spark.sparkContext.broadcast(vocabulary)
+def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text", packed: bool = False) -> DataFrame:
+    """Add ``ids``: an array of integers or, ``packed``, little-endian unsigned 32-bit integers in a row."""
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
-    @F.pandas_udf("string")
+    @F.pandas_udf("binary" if packed else "array<int>")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        tokens = shared.value.bytes
+        encoder = Encoder(shared.value)
         for batch in batches:
-            yield pd.Series(["" if x is None else _joined(tokens, x) for x in batch], dtype=object)
-
-    return run.asNondeterministic()(ids)
-
+            for part in slices(batch):
+                found = encoder.encode(part)
+                yield pd.Series([x.tobytes() if packed else x.view("<i4") for x in found], dtype=object)
 
-def ids_sha256(ids: Column) -> Column:
-    """SHA-256 of the ids as little-endian unsigned 32-bit integers."""
-
-    def digest(lists: pd.Series) -> pd.Series:
-        return lists.map(lambda x: hashlib.sha256(np.asarray(x).astype("<u4").tobytes()).hexdigest())
-
-    return F.pandas_udf(digest, "string")(ids)
-
-
-def encode(docs: DataFrame, vocabulary: Vocabulary, text: str = "text") -> DataFrame:
-    """Add ``ids``, an array of integers."""
     kept = without(docs, ("ids",))
-    return docs.select(*kept, encoded(docs.sparkSession, vocabulary, F.col(text)).alias("ids"))
+    # Not to be evaluated again below a filter on its result.
+    return docs.select(*kept, run.asNondeterministic()(F.col(text)).alias("ids"))
 
 
 def decode(rows: DataFrame, vocabulary: Vocabulary, ids: str = "ids") -> DataFrame:
-    """Add ``decoded``, the text of ``ids``."""
+    """Add ``decoded``, the text of ``ids`` (an array or packed); special tokens are written out."""
+    shared = rows.sparkSession.sparkContext.broadcast(vocabulary)
+
+    @F.pandas_udf("string")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        tokens = shared.value.bytes
+        for batch in batches:
+            for start in range(0, len(batch), DECODED_ROWS):
+                part = batch.iloc[start : start + DECODED_ROWS]
+                yield pd.Series(["" if x is None else _joined(tokens, _ids_of(x)) for x in part], dtype=object)
+
     kept = without(rows, ("decoded",))
-    return rows.select(*kept, decoded(rows.sparkSession, vocabulary, F.col(ids)).alias("decoded"))
+    return rows.select(*kept, run.asNondeterministic()(F.col(ids)).alias("decoded"))

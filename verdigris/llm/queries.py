@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from verdigris.llm import (
     bpe,
+    collocations,
     decontaminate,
     html_extract,
     language_id,
@@ -144,15 +145,21 @@ def _(spark: SparkSession, folder: str) -> DataFrame:
 
     vocabulary = bpe.load(public_tokenizers.path("byte_bpe_50k.json"))
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    both = bpe.decode(bpe.encode(docs, vocabulary), vocabulary)
+    both = bpe.decode(bpe.encode(docs, vocabulary, packed=True), vocabulary)
     return both.select(
         "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        bpe.ids_sha256(F.col("ids")).alias("ids_sha256"),
+        F.expr("octet_length(ids) div 4").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
 
 
+@query("op12_collocations", collocations.mine_sql())
+def _(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("lang", "text")
+    return collocations.mine(collocations.count_phrases(docs))
+
+
 @query("op13_spelling_variants")
 def _(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
