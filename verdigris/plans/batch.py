@@ -24,7 +24,6 @@ from verdigris.operators.models import (
     train_forecaster,
     train_trees,
 )
-from verdigris.operators.quality import table_counts
 from verdigris.operators.semantic import (
     daily_environment_metrics,
     dim_sensor_health,
@@ -42,9 +41,9 @@ from verdigris.schemas import (
     SILVER_SCHEMA,
     require_schema,
 )
-from verdigris.sources.publish import publish_parquet, verify_counts
+from verdigris.sources.counted import publish_verified, record_count, recorded_counts, write_counted
 from verdigris.sources.scans import ingest_csv, ingest_json
-from verdigris.sources.sinks import register_table, write_parquet
+from verdigris.sources.sinks import register_table
 
 
 # Forecasts the training job fits by default, by the name of their prediction column.
@@ -64,6 +63,22 @@ class Lake:
     def path(self, layer: str, table: str) -> str:
         return f"{self.root}/{layer}/{table}"
 
+    def write(
+        self, df: DataFrame, layer: str, table: str, mode: str = "overwrite", partition_by: Sequence[str] = ()
+    ) -> DataFrame:
+        """Store one table, keep the rows its write observed, name it, and read it back."""
+        spark, path = df.sparkSession, self.path(layer, table)
+        self.record(spark, layer, table, write_counted(df, path, mode, partition_by), mode)
+        self.register(spark, layer, table, partition_by)
+        return spark.read.parquet(path)
+
+    def record(self, spark: SparkSession, layer: str, table: str, rows: int, mode: str = "overwrite") -> None:
+        record_count(spark, f"{self.root}/_counts", f"{layer}.{table}", rows, mode)
+
+    def counts(self, spark: SparkSession) -> DataFrame:
+        """(table_name, row_count) of every table, as observed when it was written."""
+        return recorded_counts(spark, f"{self.root}/_counts")
+
     def register(self, spark: SparkSession, layer: str, table: str, partition_by: Sequence[str] = ()) -> None:
         """Make a stored table known by name, if the lake has a database."""
         if self.database:
@@ -89,17 +104,14 @@ def land_bronze(
         ingest_json(spark, json, ingested_at=now, multi_line=not json_lines) if json else None,
     ):
         if found is not None:
-            write_parquet(require_schema(found, BRONZE_SCHEMA), path, "append")
-    lake.register(spark, "bronze", "iot_data")
+            lake.write(require_schema(found, BRONZE_SCHEMA), "bronze", "iot_data", "append")
     return spark.read.parquet(path)
 
 
 def refresh_silver(bronze: DataFrame, lake: Lake, processed_at: datetime | None = None) -> DataFrame:
     """Rewrite silver from bronze."""
     silver = build_silver(bronze, processed_at=processed_at or datetime.now(timezone.utc))
-    path = write_parquet(require_schema(silver, SILVER_SCHEMA), lake.path("silver", "iot_data"))
-    lake.register(bronze.sparkSession, "silver", "iot_data")
-    return bronze.sparkSession.read.parquet(path)
+    return lake.write(require_schema(silver, SILVER_SCHEMA), "silver", "iot_data")
 
 
 def refresh_gold(silver: DataFrame, lake: Lake) -> dict[str, DataFrame]:
@@ -107,17 +119,10 @@ def refresh_gold(silver: DataFrame, lake: Lake) -> dict[str, DataFrame]:
     spark = silver.sparkSession
     fact = require_schema(gold_fact(silver), FACT_SCHEMA)
     dated = fact.withColumn("partition_day", F.to_date("timestamp_key"))
-    write_parquet(dated, lake.path("gold", "iot_data"), partition_by=["partition_day"])
-    write_parquet(require_schema(dim_time(silver), DIM_TIME_SCHEMA), lake.path("gold", "dim_time"))
-    write_parquet(require_schema(dim_equipment(spark), EQUIPMENT_SCHEMA), lake.path("gold", "dim_equipment"))
-    lake.register(spark, "gold", "iot_data", ["partition_day"])
-    lake.register(spark, "gold", "dim_time")
-    lake.register(spark, "gold", "dim_equipment")
-    read = spark.read.parquet
     return {
-        "iot_data": read(lake.path("gold", "iot_data")).select(*fact.columns),
-        "dim_time": read(lake.path("gold", "dim_time")),
-        "dim_equipment": read(lake.path("gold", "dim_equipment")),
+        "iot_data": lake.write(dated, "gold", "iot_data", partition_by=["partition_day"]).select(*fact.columns),
+        "dim_time": lake.write(require_schema(dim_time(silver), DIM_TIME_SCHEMA), "gold", "dim_time"),
+        "dim_equipment": lake.write(require_schema(dim_equipment(spark), EQUIPMENT_SCHEMA), "gold", "dim_equipment"),
     }
 
 
@@ -140,15 +145,12 @@ def refresh_semantic(gold: dict[str, DataFrame], lake: Lake) -> dict[str, DataFr
     The daily model is built from the stored hourly rows. Time attributes are derived
     from the timestamp, since the dimension was built from the same readings.
     """
-    spark = gold["iot_data"].sparkSession
     models = semantic_models(gold["iot_data"])
 
     def stored(name: str, df: DataFrame, time: str | None = None) -> DataFrame:
         by = ["partition_day"] if time else []
         dated = df.withColumn("partition_day", F.to_date(time)) if time else df
-        path = write_parquet(dated, lake.path("semantic", name), partition_by=by)
-        lake.register(spark, "semantic", name, by)
-        return spark.read.parquet(path)
+        return lake.write(dated, "semantic", name, partition_by=by)
 
     hourly = stored("int_sensor_metrics", models["int_sensor_metrics"])
     return {
@@ -173,7 +175,7 @@ def feature_series(fact: DataFrame) -> tuple[DataFrame, list[str]]:
 def refresh_features(fact: DataFrame, lake: Lake) -> DataFrame:
     """Rewrite the stored feature table that training and scoring share."""
     series, _ = feature_series(fact)
-    return fact.sparkSession.read.parquet(write_parquet(series, lake.path("ml", "features")))
+    return lake.write(series, "ml", "features")
 
 
 def train_models(
@@ -199,10 +201,10 @@ def score_features(
     spark = features.sparkSession
     trees = load_model(spark, lake.path("models", "lightgbm_prediction"))
     loaded = {name: load_model(spark, lake.path("models", name)) for name in sequences or DEFAULT_SEQUENCES}
-    path = write_parquet(score_batch(features, trees, loaded, own_stats=own_stats), lake.path("ml", "predictions"))
+    scored = lake.write(score_batch(features, trees, loaded, own_stats=own_stats), "ml", "predictions")
     if table:
-        register_table(spark, table, path)
-    return spark.read.parquet(path)
+        register_table(spark, table, lake.path("ml", "predictions"))
+    return scored
 
 
 def run_all_layers(
@@ -216,14 +218,11 @@ def run_all_layers(
     bronze = land_bronze(spark, lake, csv, json)
     silver = refresh_silver(bronze, lake)
     gold = refresh_gold(silver, lake)
-    semantic = refresh_semantic(gold, lake)
-    paths = publish_parquet(gold, f"{root}/published")
-    published = {name: spark.read.parquet(path) for name, path in paths.items()}
-    wrong = verify_counts(gold, published).filter("not matches").count()
+    refresh_semantic(gold, lake)
+    wrong = publish_verified(gold, f"{root}/published")[1].filter("not matches").count()
     if wrong:
         raise RuntimeError(f"{wrong} published tables differ in row count from their source")
-    return table_counts(
-        {"bronze.iot_data": bronze, "silver.iot_data": silver}
-        | {f"gold.{n}": t for n, t in gold.items()}
-        | {f"semantic.{n}": t for n, t in semantic.items()}
-    )
+    counts = lake.counts(spark)
+    # The staging model is a view of the fact, row for row.
+    view = counts.filter("table_name = 'gold.iot_data'").select(F.lit("semantic.stg_iot_data"), "row_count")
+    return counts.union(view)

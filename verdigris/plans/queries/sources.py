@@ -7,12 +7,14 @@ from datetime import date, datetime
 
 from pyspark.sql import functions as F, types as T
 
-from verdigris.operators.quality import table_counts
+from verdigris.operators.gold import dim_time, gold_fact
+from verdigris.operators.silver import build_silver, silver_dedup
 from verdigris.plans.oracle import using
 from verdigris.plans.registry import Tables, query
 from verdigris.schemas import RAW_COLUMNS, RAW_SCHEMA
 from verdigris.session import scratch_path
-from verdigris.sources.publish import format_timestamps, publish_parquet, verify_counts
+from verdigris.sources.counted import count_while_writing, publish_verified, watch
+from verdigris.sources.publish import format_timestamps
 from verdigris.sources.routing import Route, replay_pack, route_by_date, write_requests, write_routes
 from verdigris.sources.scans import (
     add_ingest_metadata,
@@ -142,8 +144,7 @@ def _(t: Tables):
 )
 def _(t: Tables):
     gold = {"iot_data": t.fact, "dim_time": t.time, "dim_equipment": t.equipment}
-    paths = publish_parquet(gold, scratch_path(t.spark, "published"))
-    return verify_counts(gold, {n: t.spark.read.parquet(p) for n, p in paths.items()})
+    return publish_verified(gold, scratch_path(t.spark, "published"))[1]
 
 
 @query(
@@ -168,8 +169,10 @@ def _(t: Tables):
     ),
 )
 def _(t: Tables):
-    """Rows before and after deduplication, which differ: the check reports it."""
-    return verify_counts({"iot_data": t.valid}, {"iot_data": t.silver})
+    """Rows before and after deduplication, which differ: the check reports it. One run sees both."""
+    valid, before = watch(t.valid)
+    published = {"iot_data": silver_dedup(valid)}
+    return publish_verified(published, scratch_path(t.spark, "verified"), {"iot_data": before})[1]
 
 
 # The readings lie in January 2024; the default ranges lie in 2023.
@@ -271,7 +274,13 @@ def _(t: Tables):
     ),
 )
 def _(t: Tables):
-    return table_counts({"bronze": t.bronze, "silver": t.silver, "fact": t.fact, "dim_time": t.time})
+    """Each layer is counted by the write that stores it, and read back for the next."""
+    folder = scratch_path(t.spark, "counted")
+    stored = t.spark.read.parquet
+    counts = count_while_writing({"bronze": t.bronze}, folder)
+    counts = counts.union(count_while_writing({"silver": build_silver(stored(f"{folder}/bronze"))}, folder))
+    silver = stored(f"{folder}/silver")
+    return counts.union(count_while_writing({"fact": gold_fact(silver), "dim_time": dim_time(silver)}, folder))
 
 
 @query("write_layer", using("bronze", "select source_file, count(*) as n from bronze group by 1"))
