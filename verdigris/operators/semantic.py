@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from verdigris.functions.calendar import calendar
@@ -114,6 +116,66 @@ def int_sensor_metrics(staged: DataFrame) -> DataFrame:
     return hourly.select("*", *optimality_shares())
 
 
+def hourly_partials(staged: DataFrame) -> DataFrame:
+    """Mergeable aggregates of each hour: counts, sums, squared deviations and extremes."""
+    return staged.groupBy("reading_date", "reading_hour").agg(
+        F.count(F.lit(1)).alias("n"),
+        *[f(c).alias(f"{p}_{n}") for c, n in _AVERAGES.items() for p, f in (("count", F.count), ("sum", F.sum))],
+        *[(F.var_pop(c) * F.count(c)).alias(f"m2_{n}") for c, n in _SPREADS.items()],
+        *[f(c).alias(f"{p}_{n}") for c, n in _SPREADS.items() for p, f in (("min", F.min), ("max", F.max))],
+        *[conditional_count(F.col(c)).alias(f"{n}_optimal_count") for c, n in _OPTIMAL.items()],
+        *[conditional_count(F.col(c)).alias(n) for c, n in _ACTIVATIONS.items()],
+    )
+
+
+def merge_partials(added: DataFrame, state: DataFrame, key: Sequence[str]) -> DataFrame:
+    """The partial aggregates of ``added``, each merged with those ``state`` has for its key.
+
+    Squared deviations of two parts add up with their means' squared distance, weighted
+    by both sizes (the pairwise update of Chan, Golub and LeVeque).
+    """
+    met = added.alias("a").join(state.alias("b"), list(key), "left")
+    merged = {}
+    for name in added.columns:
+        a, b = F.col(f"a.{name}"), F.col(f"b.{name}")
+        if name in key:
+            continue
+        if name.startswith("min_"):
+            merged[name] = F.least(a, b)
+        elif name.startswith("max_"):
+            merged[name] = F.greatest(a, b)
+        elif name.startswith("m2_"):
+            of = name.removeprefix("m2_")
+            na, nb = F.col(f"a.count_{of}"), F.coalesce(f"b.count_{of}", F.lit(0))
+            apart = F.col(f"a.sum_{of}") / F.nullif(na, F.lit(0)) - F.col(f"b.sum_{of}") / F.nullif(nb, F.lit(0))
+            between = F.when((na > 0) & (nb > 0), apart * apart * na * nb / (na + nb)).otherwise(0.0)
+            merged[name] = F.coalesce(a, F.lit(0.0)) + F.coalesce(b, F.lit(0.0)) + between
+        elif name.startswith("sum_"):
+            merged[name] = F.coalesce(a + b, a, b)
+        else:
+            merged[name] = a + F.coalesce(b, F.lit(0))
+    return met.select(*key, *[column.alias(name) for name, column in merged.items()])
+
+
+def hourly_values(partials: DataFrame) -> DataFrame:
+    """The hourly roll-up from partial aggregates, with the columns of ``int_sensor_metrics``."""
+    some = lambda n: F.nullif(F.col(f"count_{n}"), F.lit(0))
+    hourly = partials.select(
+        "reading_date",
+        "reading_hour",
+        *[(F.col(f"sum_{n}") / some(n)).alias(f"avg_{n}") for n in _AVERAGES.values()],
+        *[F.col(f"{p}_{n}") for n in _SPREADS.values() for p in ("min", "max")],
+        *[
+            F.when(F.col(f"count_{n}") > 1, F.sqrt(F.col(f"m2_{n}") / (F.col(f"count_{n}") - 1))).alias(f"stddev_{n}")
+            for n in _SPREADS.values()
+        ],
+        F.col("n").alias("reading_count"),
+        *[F.col(f"{n}_optimal_count") for n in _OPTIMAL.values()],
+        *_ACTIVATIONS.values(),
+    )
+    return hourly.select("*", *optimality_shares())
+
+
 def daily_environment_metrics(hourly: DataFrame) -> DataFrame:
     """Daily roll-up of the hourly roll-up: averages are unweighted means of hourly means."""
     daily = hourly.groupBy("reading_date").agg(

@@ -10,14 +10,10 @@ from verdigris.plans.registry import Tables, query, rounded
 from verdigris.schemas import RAW_COLUMNS
 from verdigris.session import scratch_path
 from verdigris.sources.routing import replay_pack, write_requests
-from verdigris.streaming.jobs import (
-    first_copy_stream,
-    hourly_stream,
-    read_landed,
-    run_available,
-    to_parquet,
-    upsert_stream,
-)
+from verdigris.sources.versions import DayTable
+from verdigris.streaming.event_time import event_time_stream, never_kept, run_counted
+from verdigris.streaming.jobs import first_copy_stream, read_landed, run_available, to_parquet
+from verdigris.streaming.merge import hourly_metrics, hourly_state_stream, latest_rows, latest_stream
 
 # Requests of 500 readings, four to a file of JSON lines, two files to a micro-batch.
 REQUEST_READINGS, FILE_REQUESTS, BATCH_FILES = 500, 4, 2
@@ -69,15 +65,44 @@ def _(t: Tables):
 
 @query("stream_hourly_metrics", using("hourly", f"select {replace_rounded(HOURLY_MEANS)} from hourly"))
 def _(t: Tables):
-    """The full batch roll-up, kept up to date day by day."""
+    """The full batch roll-up, kept as partial aggregates of each hour."""
     path, silver = scratch_path(t.spark, "hours"), scratch_path(t.spark, "hours-silver")
-    _run_landings(t, "hours", lambda stream, state: hourly_stream(stream, silver, path, state))
-    return rounded(t.spark.read.parquet(path).drop("day"))
+    _run_landings(t, "hours", lambda stream, state: hourly_state_stream(stream, silver, path, state))
+    return rounded(hourly_metrics(DayTable(t.spark, path)))
 
 
 @query("stream_upsert_latest", using("silver", f"select {_SILVER_SQL} from silver"))
 def _(t: Tables):
     """The latest copy of each reading, all columns but those of the ingestion itself."""
     path = scratch_path(t.spark, "silver")
-    _run_landings(t, "upsert", lambda stream, state: upsert_stream(stream, path, state))
-    return t.spark.read.parquet(path).select(*_SILVER)
+    _run_landings(t, "upsert", lambda stream, state: latest_stream(stream, path, state))
+    return latest_rows(DayTable(t.spark, path)).select(*_SILVER)
+
+
+@query(
+    "stream_event_time_dedup",
+    using(
+        "valid",
+        """select * from (with v as (select id, "timestamp", source_file = 'late.parquet' as again from valid),
+           w as (select max("timestamp") - interval 1 hour as mark from v where not again),
+           judged as (select v.*, again and "timestamp" <= mark as late from v, w),
+           kept as (select distinct id, "timestamp" from judged where not late),
+           n as (select (select count(*) from v) as every, (select count(*) from kept) as kept,
+             (select count(*) from judged where late) as late)
+           select 'kept' as outcome, kept as readings from n
+           union all select 'late', late from n
+           union all select 'repeated', every - kept - late from n
+           union all select 'never_kept', count(*) from v anti join kept using (id, "timestamp"))""",
+    ),
+)
+def _(t: Tables):
+    """What became of each valid row: kept, repeated within an hour, late; and readings lost to lateness."""
+    landed, path, state, counts = (scratch_path(t.spark, f"timed-{n}") for n in ("landed", "rows", "state", "counts"))
+    late = F.col("source_file") == "late.parquet"
+    for rows in (t.bronze.filter(~late), t.bronze.filter(late)):
+        _land(rows, landed)
+        run_counted(t.spark, event_time_stream(read_landed(t.spark, landed), path, state), counts)
+    found = t.spark.read.parquet(counts).agg(*[F.sum(n).alias(n) for n in ("kept", "late", "repeated")])
+    found = found.unpivot([], ["kept", "late", "repeated"], "outcome", "readings")
+    lost = never_kept(t.valid, t.spark.read.parquet(path))
+    return found.union(lost.agg(F.lit("never_kept"), F.count(F.lit(1))))
