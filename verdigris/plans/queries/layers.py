@@ -38,6 +38,7 @@ from verdigris.operators.semantic import (
 )
 from verdigris.operators.silver import silver_dedup, silver_rejects
 from verdigris.plans.batch import Lake, refresh_gold, refresh_semantic, refresh_silver, run_all_layers, semantic_models
+from verdigris.plans.incremental import DailyLake, refresh
 from verdigris.plans.oracle import (
     DAILY_MEANS,
     HOURLY_MEANS,
@@ -451,3 +452,15 @@ def _(t: Tables):
 def _(t: Tables):
     """CSV to published tables, every layer stored; rows per table."""
     return run_all_layers(t.spark, scratch_path(t.spark, "lake"), csv=_raw_csv(t))
+
+
+@query("incremental_layers", using("daily", f"select {replace_rounded(DAILY_MEANS)} from daily"))
+def _(t: Tables):
+    """Daily metrics after three landings, each refreshing only the days its files touch."""
+    lake = DailyLake(t.spark, scratch_path(t.spark, "daily-lake"))
+    late = F.col("source_file") == "late.parquet"
+    recent = F.col("timestamp") >= "2024-01-25"
+    for rows in (t.bronze.filter(~late & ~recent), t.bronze.filter(~late & recent), t.bronze.filter(late)):
+        lake.land(rows)
+        refresh(lake)
+    return rounded(lake.read("semantic.daily_environment_metrics"))
