@@ -15,7 +15,9 @@ reached it too.
 
 A task numbers the words of a block of at most about ``BLOCK_WORDS`` words, counts all active
 phrases of one length after another on arrays, and hands on one row for each distinct phrase.
-Rows of all tasks are summed before they are merged with the running counts.
+Rows of all tasks are summed before they are merged with the running counts, of which those of
+complete phrases below the threshold are dropped. Once all pairs are complete, the shards are
+stored again without the words that no longer phrase can hold.
 
 Scores are exact: products are decimals of 38 digits.
 
@@ -41,7 +43,9 @@ SHARE = 100  # percent of a phrase's occurrences that lie in one longer phrase
 TOP = 2_000
 SHARDS = 2
 SLOTS = 1 << 22
-BLOCK_WORDS = 3_000_000
+BLOCK_WORDS = 2_000_000
+SENT_ROWS = 200_000  # rows of one record batch
+TEXT_WORDS = 50_000  # words of a stored text without rare pairs, at least
 UNKNOWN = "und"
 NEVER = -1  # for slots without phrases
 
@@ -52,7 +56,9 @@ _NORMAL = bytes(
     c + 32 if 0x41 <= c <= 0x5A else _BORDER if chr(c) in _ENDS else 0x20 if c == 0x09 else c for c in range(256)
 )
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_PART = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("k", pa.int32()), ("fresh", pa.int64())])
+_PART = pa.schema(
+    [("lang", pa.string()), ("phrase", pa.string()), ("k", pa.int32()), ("fresh", pa.int64()), ("until", pa.int32())]
+)
 
 
 class _Numbers(dict):
@@ -114,15 +120,21 @@ class _Block:
         self.parts.append(np.zeros(1, np.int32))
         self.size += len(words) + 1
 
+    def _flat(self) -> np.ndarray:
+        return np.concatenate(self.parts).astype(np.int64)
+
     def counts(self, reached: Reached, scan: int, shards: int, longest: int) -> Iterator[pa.RecordBatch]:
-        """(lang, phrase, k, fresh) of the phrases that may be active in this scan."""
-        flat = np.concatenate(self.parts).astype(np.int64)
+        """(lang, phrase, k, fresh, until) of the phrases that may be active in this scan.
+
+        ``until`` is the scan by which the phrase is complete, as far as is known.
+        """
+        flat = self._flat()
         words = list(self.numbers)
         spelled = pa.array(words, pa.binary())
         if scan < shards:
             found = np.bincount(flat, minlength=len(words))[1:]
-            yield self._rows(spelled[1:], 1, found)
-            yield self._rows(pa.array([b""], pa.binary()), 0, np.array([found.sum()]))
+            yield from self._rows(spelled[1:], 1, found, np.full(len(found), shards - 1))
+            yield from self._rows(pa.array([b""], pa.binary()), 0, np.array([found.sum()]), np.array([shards - 1]))
         word_codes = _word_codes(words, self.lang)
         # For each position the number of the phrase that begins there (0 for none), and for each
         # phrase when it may have been reached.
@@ -138,26 +150,53 @@ class _Block:
                 left * len(codes) + right, return_index=True, return_inverse=True, return_counts=True
             )
             left, right, begin = left[where], right[where], places[where]
-            active = np.maximum(last[left], last[right]) + 1 + shards > scan
+            until = np.maximum(last[left], last[right]) + shards
+            active = until >= scan
             if active.any():
                 chosen = begin[active]
                 parts = [spelled.take(pa.array(flat[chosen + i])) for i in range(k)]
-                yield self._rows(pc.binary_join_element_wise(*parts, b" "), k, found[active])
+                yield from self._rows(pc.binary_join_element_wise(*parts, b" "), k, found[active], until[active])
             at = np.zeros(len(flat) - k + 1, np.int64)
             at[places] = which + 1
             last_words = word_codes[flat[begin + k - 1]]
             codes = np.concatenate((np.zeros(1, np.uint64), _longer(codes[left], last_words)))
             last = reached.of(codes)
 
-    def _rows(self, phrases: pa.Array, k: int, found: np.ndarray) -> pa.RecordBatch:
-        size = len(phrases)
-        columns = [
-            pa.repeat(pa.scalar(self.lang, pa.string()), size),
-            phrases.cast(pa.string()),
-            pa.array(np.full(size, k, np.int32)),
-            pa.array(found.astype(np.int64)),
-        ]
-        return pa.RecordBatch.from_arrays(columns, schema=_PART)
+    def _rows(self, phrases: pa.Array, k: int, found: np.ndarray, until: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for start in range(0, len(phrases), SENT_ROWS):
+            part = phrases[start : start + SENT_ROWS]
+            columns = [
+                pa.repeat(pa.scalar(self.lang, pa.string()), len(part)),
+                part.cast(pa.string()),
+                pa.array(np.full(len(part), k, np.int32)),
+                pa.array(found[start : start + SENT_ROWS].astype(np.int64)),
+                pa.array(until[start : start + SENT_ROWS].astype(np.int32)),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, schema=_PART)
+
+    def without_rare_pairs(self, reached: Reached) -> Iterator[str]:
+        """What the texts hold in runs of three words or more whose pairs all may have been reached."""
+        flat = self._flat()
+        words = list(self.numbers)
+        codes = _word_codes(words, self.lang)
+        first, second = flat[:-1], flat[1:]
+        pairs = np.concatenate((np.zeros(1, np.uint64), _longer(codes[first], codes[second])))
+        known = (reached.of(pairs)[1:] != NEVER) & (first != 0) & (second != 0)
+        known = np.concatenate((known, [False]))
+        runs = known & np.concatenate((known[1:], [False]))  # a run of three words begins here
+        kept = runs.copy()
+        kept[1:] |= runs[:-1]
+        kept[2:] |= runs[:-2]
+        # Words of a run stand side by side; a border follows where a pair is rare.
+        line = np.stack((flat + 1, np.where(kept & known, 0, 1)), axis=1)[kept].ravel()
+        line = line[line != 0] - 1
+        borders = np.flatnonzero(line == 0)
+        words[0] = b"\n"
+        start = 0
+        while start < len(line):
+            end = borders[min(np.searchsorted(borders, start + TEXT_WORDS), len(borders) - 1)] + 1
+            yield b" ".join([words[i] for i in line[start:end].tolist()]).decode("utf-8", "replace")
+            start = end
 
 
 def store_shards(docs: DataFrame, lang: str, text: str, shards: int) -> DataFrame:
@@ -173,6 +212,39 @@ def store_shards(docs: DataFrame, lang: str, text: str, shards: int) -> DataFram
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def _shorten(stored: DataFrame, reached: Reached, block_words: int) -> DataFrame:
+    """The shards without what no phrase of three words can lie in, once pairs are complete."""
+    spark = stored.sparkSession
+    shared = spark.sparkContext.broadcast(reached)
+
+    def rows(blocks: dict) -> Iterator[pa.RecordBatch]:
+        for (lang, shard), block in blocks.items():
+            for text in block.without_rare_pairs(shared.value):
+                yield pa.RecordBatch.from_pydict(
+                    {"lang": [lang], "text": [text], "shard": pa.array([shard], pa.int32())}
+                )
+
+    def shorten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blocks: dict[tuple, _Block] = {}
+        held = 0
+        for batch in batches:
+            for lang, text, shard in zip(*(batch.column(i) for i in range(3))):
+                key = (lang.as_py(), shard.as_py())
+                block = blocks.setdefault(key, _Block(key[0]))
+                held -= block.size
+                block.add(text.as_py())
+                held += block.size
+                if held >= block_words:
+                    yield from rows(blocks)
+                    blocks, held = {}, 0
+        yield from rows(blocks)
+
+    path = scratch_path(spark, "short-shards")
+    short = stored.select("lang", "text", "shard").mapInArrow(shorten, "lang string, text string, shard int")
+    short.write.partitionBy("shard").parquet(path)
+    return spark.read.schema(short.schema).parquet(path)
+
+
 def _scan(shard: DataFrame, reached: Reached, scan: int, shards: int, longest: int, block_words: int) -> DataFrame:
     shared = shard.sparkSession.sparkContext.broadcast(reached)
 
@@ -182,11 +254,10 @@ def _scan(shard: DataFrame, reached: Reached, scan: int, shards: int, longest: i
         for batch in batches:
             for lang, text in zip(batch.column(0), batch.column(1)):
                 name = lang.as_py()
-                if name not in blocks:
-                    blocks[name] = _Block(name)
-                before = blocks[name].size
-                blocks[name].add(text.as_py())
-                held += blocks[name].size - before
+                block = blocks.setdefault(name, _Block(name))
+                held -= block.size
+                block.add(text.as_py())
+                held += block.size
                 if held >= block_words:
                     for block in blocks.values():
                         yield from block.counts(shared.value, scan, shards, longest)
@@ -194,25 +265,26 @@ def _scan(shard: DataFrame, reached: Reached, scan: int, shards: int, longest: i
         for block in blocks.values():
             yield from block.counts(shared.value, scan, shards, longest)
 
-    return shard.select("lang", "text").mapInArrow(count, "lang string, phrase string, k int, fresh long")
+    return shard.select("lang", "text").mapInArrow(count, "lang string, phrase string, k int, fresh long, until int")
 
 
 def _merge(state: DataFrame | None, fresh: DataFrame, scan: int, shards: int, threshold: int) -> DataFrame:
     """Running counts (lang, phrase, k, a count for each shard, reached) after a scan."""
     held = [f"c{i}" for i in range(shards)]
     nothing = F.lit(None).cast("long")
-    rows = fresh.select("lang", "phrase", "k", "fresh", *[nothing.alias(c) for c in held], F.lit(None).cast("int").alias("reached"))
+    rows = fresh.select("*", *[nothing.alias(c) for c in held], F.lit(None).cast("int").alias("reached"))
     if state is not None:
-        rows = rows.union(state.select("lang", "phrase", "k", nothing.alias("fresh"), *held, "reached"))
+        rows = rows.unionByName(state.withColumn("fresh", nothing))
     merged = rows.groupBy("lang", "phrase", "k").agg(
-        F.sum("fresh").alias("fresh"), *[F.max(c).alias(c) for c in held], F.max("reached").alias("reached")
+        F.sum("fresh").alias("fresh"), *[F.max(c).alias(c) for c in (*held, "until", "reached")]
     )
     now = held[scan % shards]
     merged = merged.withColumn(now, F.coalesce(now, "fresh")).drop("fresh")
     total = sum((F.coalesce(c, F.lit(0).cast("long")) for c in held), F.lit(0).cast("long"))
     merged = merged.withColumn("reached", F.coalesce("reached", F.when(total >= threshold, F.lit(scan))))
-    # All phrases of k words are complete after k cycles.
-    return merged.filter((F.col("k") == 0) | F.col("reached").isNotNull() | (F.col("k") * shards - 1 > scan))
+    # A phrase that is complete below the threshold goes. Should a subphrase be reached only
+    # later (its slot was shared), the phrase is counted again for a whole cycle.
+    return merged.filter((F.col("k") == 0) | F.col("reached").isNotNull() | (F.col("until") > scan))
 
 
 def _new_slots(state: DataFrame, scan: int, longest: int, slots: int) -> np.ndarray:
@@ -260,6 +332,8 @@ def count_phrases(
             reached.note(found, scan)
             news = scan
         scan += 1
+        if scan == 2 * shards and longest > 2:
+            stored = _shorten(stored, reached, block_words)
     total = sum((F.coalesce(f"c{i}", F.lit(0).cast("long")) for i in range(shards)), F.lit(0).cast("long"))
     counted = state.filter("k = 0 or reached is not null").select("lang", "phrase", "k", total.alias("f"))
     return materialize(counted, "phrases")
