@@ -15,6 +15,7 @@ from verdigris.schemas import RAW_COLUMNS, RAW_SCHEMA
 from verdigris.session import scratch_path
 from verdigris.sources.counted import count_while_writing, publish_verified, watch
 from verdigris.sources.publish import format_timestamps
+from verdigris.sources.rescue import rescue_csv, rescue_json, route_rescued
 from verdigris.sources.routing import Route, replay_pack, route_by_date, write_requests, write_routes
 from verdigris.sources.scans import (
     add_ingest_metadata,
@@ -291,3 +292,64 @@ def _(t: Tables):
     write_layer(t.bronze.filter(~late), path, name, "append")
     write_layer(t.bronze.filter(late), path, name, "append")
     return t.spark.table(name).groupBy("source_file").agg(F.count(F.lit(1)).alias("n"))
+
+
+# Every fiftieth reading is sent with a defect of one kind, the next with one of another.
+_NUMBER = "cast(id as bigint)"
+_PLAIN_SQL = ", ".join(f"coalesce(replace(\"{n}\", '\"', ''), '')" for n in RAW_COLUMNS)
+
+
+def _plain(name: str):
+    return F.coalesce(F.regexp_replace(name, '"', ""), F.lit(""))
+
+
+@query(
+    "scan_csv_rescued",
+    using(
+        "bronze",
+        f"""select case {_NUMBER} % 50 when 1 then line || ',surplus' when 2 then id || ',' || "timestamp" end as line,
+           case when {_NUMBER} % 50 not in (1, 2) then id end as id
+           from (select *, concat_ws(',', {_PLAIN_SQL}) as line from bronze)""",
+    ),
+)
+def _(t: Tables):
+    """Lines with a field too many or too few end in quarantine as they were; the others are read."""
+    number = F.col("id").cast("long")
+    whole = F.concat_ws(",", *[_plain(n) for n in RAW_COLUMNS])
+    line = (
+        F.when(number % 50 == 1, F.concat(whole, F.lit(",surplus")))
+        .when(number % 50 == 2, F.concat_ws(",", "id", "timestamp"))
+        .otherwise(whole)
+    )
+    # Files of at most some hundred lines, each with its header.
+    lines = t.bronze.select(F.floor(number / 500).alias("file"), line.alias("line"))
+    bodies = lines.groupBy("file").agg(F.array_join(F.collect_list("line"), "\n").alias("body"))
+    path, quarantine = scratch_path(t.spark, "defects"), scratch_path(t.spark, "quarantine")
+    headed = bodies.select(F.concat(F.lit(",".join(RAW_COLUMNS) + "\n"), "body").alias("value"))
+    headed.write.option("maxRecordsPerFile", 1).text(path)
+    good = route_rescued(rescue_csv(t.spark, path), quarantine)
+    lost = t.spark.read.parquet(quarantine)
+    return lost.select(F.col("_rescued").alias("line"), F.lit(None).cast("string").alias("id")).union(
+        good.select(F.lit(None).cast("string"), "id")
+    )
+
+
+@query(
+    "scan_json_rescued",
+    using(
+        "bronze",
+        f"""select case when {_NUMBER} % 50 <> 2 then id end as id,
+           case {_NUMBER} % 50 when 1 then '{{"firmware":"v' || id || '"}}' when 2 then '{{"id": "' || id || '", ' end
+             as rescued,
+           {_NUMBER} % 50 = 2 as broken from bronze""",
+    ),
+)
+def _(t: Tables):
+    """Unknown fields stay beside their record, broken lines come back as they were."""
+    number = F.col("id").cast("long")
+    firmware = F.when(number % 50 == 1, F.concat(F.lit("v"), "id")).alias("firmware")
+    body = F.to_json(F.struct("id", "timestamp", "water_level", firmware))
+    line = F.when(number % 50 == 2, F.concat(F.lit('{"id": "'), "id", F.lit('", '))).otherwise(body)
+    path = scratch_path(t.spark, "json-defects")
+    t.bronze.select(line.alias("value")).write.text(path)
+    return rescue_json(t.spark, path).select("id", F.col("_rescued").alias("rescued"), F.col("_broken").alias("broken"))
