@@ -39,10 +39,11 @@ def query(name: str, sql: str | None = None):
 
 @query("op1_url_reputation", url_reputation.filter_sql())
 def _(spark: SparkSession, folder: str) -> DataFrame:
-    """A page's outcome is the quality label of the document with its id."""
-    pages = table(spark, folder, "pages").select("page_id", "url")
-    outcomes = table(spark, folder, "labels").select(F.col("doc_id").alias("page_id"), F.col("quality").alias("good"))
-    judged = url_reputation.filter_urls(pages, outcomes)
+    """A page's outcome is the quality label of the document it shows, by the number in its url."""
+    shown = url_reputation.shown_document(F.col("url")).alias("document")
+    pages = table(spark, folder, "pages").select("page_id", "url", shown)
+    outcomes = table(spark, folder, "labels").select(F.col("doc_id").alias("document"), F.col("quality").alias("good"))
+    judged = url_reputation.filter_urls(pages, outcomes, key="document")
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 

@@ -54,6 +54,16 @@ def split_url(url: Column) -> tuple[Column, Column]:
     return host, F.regexp_extract(rest, "^[^/?#]*([^?#]*)", 1)
 
 
+# The number a path ends in, with or without file ending or slash: the document it shows.
+NUMBER = r"/([0-9]{1,18})(\.html)?/?\z"
+
+
+def shown_document(url: Column) -> Column:
+    """Id of the document that a page shows, by the number at the end of its path; null without one."""
+    found = F.regexp_extract(split_url(url)[1], NUMBER, 1)
+    return F.when(found != "", found).try_cast("long")
+
+
 def match_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -> Column:
     """Struct (rule, verdict) of the longest fitting rule, or null."""
     if len(rules) > MOST_RULES:
@@ -164,7 +174,10 @@ def filter_urls(
 
 
 def filter_sql() -> str:
-    """DuckDB SQL for page_id, host, path, rule and verdict; outcomes are labels.quality."""
+    """DuckDB SQL for page_id, host, path, rule and verdict.
+
+    The outcome of a page is labels.quality of the document that its url shows.
+    """
     upper, lower = string.ascii_uppercase, string.ascii_lowercase
     two = ", ".join(f"'{s}'" for s in TWO_LABEL_SUFFIXES)
     cases = []
@@ -183,10 +196,11 @@ def filter_sql() -> str:
 with cut as (select page_id, case when instr(url, '://') > 0 then substr(url, instr(url, '://') + 3) else '' end as rest from pages),
 split as (select page_id, translate(regexp_extract(rest, '^[^/?#]*', 0), '{upper}', '{lower}') as host,
   regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) as path from cut),
+shown as (select *, try_cast(nullif(regexp_extract(path, '{NUMBER}', 1), '') as bigint) as document from split),
 marks as (select doc_id, count(quality) as n, sum(quality) as good from labels where quality is not null group by doc_id),
 hosts as (select host, coalesce(sum(n), 0)::double as n, coalesce(sum(good), 0)::double as good,
   regexp_replace(regexp_replace(regexp_replace(host, '^.*@', ''), ':[0-9]*$', ''), '\\.$', '') as bare
-  from split left join marks on page_id = doc_id group by host),
+  from shown left join marks on document = doc_id group by host),
 parts as (select *, string_split(bare, '.') as l from hosts),
 named as (select host, n, good,
   case when regexp_matches(bare, '^[0-9.]+$') or starts_with(bare, '[') then 'ip'
