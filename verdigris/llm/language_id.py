@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
 from verdigris.llm.common import uniform, unused, without
@@ -42,10 +43,15 @@ SMOOTHING = 0.5
 SLICE_CHARS = 2_000_000  # texts judged together share the work on equal words
 
 _LETTERS = re.compile(r"[^\W\d_]+")
+_ONLY_LETTERS = regex.compile(r"\p{L}+")
 
 
 def words_of(text: str | None) -> list[str]:
-    return _LETTERS.findall(text.lower()) if text else []
+    """Runs of letters. The quick pattern also takes numerals such as ² and Ⅷ, which are cut out."""
+    words = _LETTERS.findall(text.lower()) if text else []
+    if words and not "".join(words).isalpha():
+        return [part for word in words for part in _ONLY_LETTERS.findall(word)]
+    return words
 
 
 def grams_of(word: str, n: int) -> list[str]:
