@@ -1,6 +1,6 @@
 """Phrase collocations by dynamic itemset counting.
 
-The corpus is stored in ``SHARDS`` shards, which are scanned in a cycle. All words are counted
+The corpus falls into ``SHARDS`` shards, by a hash of the text, which are scanned in a cycle. All words are counted
 from the first scan on. A phrase of more words is counted from the scan after the one in which
 both its subphrases (without its last word, without its first word) have reached the
 threshold, whatever their length, so phrases of several lengths are counted in one scan; each
@@ -17,7 +17,7 @@ A task numbers the words of a block of at most about ``BLOCK_WORDS`` words, coun
 phrases of one length after another on arrays, and hands on one row for each distinct phrase.
 Rows of all tasks are summed before they are merged with the running counts, of which those of
 complete phrases below the threshold are dropped. Once all pairs are complete, the shards are
-stored again without the words that no longer phrase can hold.
+stored without the words that no longer phrase can hold.
 
 Scores are exact: products are decimals of 38 digits.
 
@@ -199,25 +199,21 @@ class _Block:
             start = end
 
 
-def store_shards(docs: DataFrame, lang: str, text: str, shards: int) -> DataFrame:
-    """(lang, text, shard), stored by shard; rows are dealt out evenly."""
-    rows = docs.select(
+def in_shards(docs: DataFrame, lang: str, text: str, shards: int) -> DataFrame:
+    """(lang, text, shard); the shard follows from the text, so that nothing has to be stored."""
+    return docs.select(
         F.coalesce(F.col(lang).cast("string"), F.lit(UNKNOWN)).alias("lang"),
         F.col(text).alias("text"),
-        (F.monotonically_increasing_id() % shards).cast("int").alias("shard"),
+        F.pmod(F.xxhash64(F.col(text), F.col(lang)), F.lit(shards)).cast("int").alias("shard"),
     )
-    spark = docs.sparkSession
-    path = scratch_path(spark, "shards")
-    rows.write.partitionBy("shard").parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)
 
 
-def _shorten(stored: DataFrame, reached: Reached, block_words: int) -> DataFrame:
+def _shorten(rows: DataFrame, reached: Reached, block_words: int) -> DataFrame:
     """The shards without what no phrase of three words can lie in, once pairs are complete."""
-    spark = stored.sparkSession
+    spark = rows.sparkSession
     shared = spark.sparkContext.broadcast(reached)
 
-    def rows(blocks: dict) -> Iterator[pa.RecordBatch]:
+    def left(blocks: dict) -> Iterator[pa.RecordBatch]:
         for (lang, shard), block in blocks.items():
             for text in block.without_rare_pairs(shared.value):
                 yield pa.RecordBatch.from_pydict(
@@ -235,12 +231,12 @@ def _shorten(stored: DataFrame, reached: Reached, block_words: int) -> DataFrame
                 block.add(text.as_py())
                 held += block.size
                 if held >= block_words:
-                    yield from rows(blocks)
+                    yield from left(blocks)
                     blocks, held = {}, 0
-        yield from rows(blocks)
+        yield from left(blocks)
 
     path = scratch_path(spark, "short-shards")
-    short = stored.select("lang", "text", "shard").mapInArrow(shorten, "lang string, text string, shard int")
+    short = rows.select("lang", "text", "shard").mapInArrow(shorten, "lang string, text string, shard int")
     short.write.partitionBy("shard").parquet(path)
     return spark.read.schema(short.schema).parquet(path)
 
@@ -321,10 +317,10 @@ def count_phrases(
 
     The row of no words (k 0) has the number of words of the language.
     """
-    stored = store_shards(docs, lang, text, shards)
+    rows = in_shards(docs, lang, text, shards)
     reached, state, scan, news = Reached(slots), None, 0, -1
     while scan < shards or scan <= news + shards:
-        shard = stored.filter(F.col("shard") == scan % shards)
+        shard = rows.filter(F.col("shard") == scan % shards)
         fresh = _scan(shard, reached, scan, shards, longest, block_words)
         state = materialize(_merge(state, fresh, scan, shards, threshold), "phrase-counts")
         found = _new_slots(state, scan, longest, slots)
@@ -333,7 +329,7 @@ def count_phrases(
             news = scan
         scan += 1
         if scan == 2 * shards and longest > 2:
-            stored = _shorten(stored, reached, block_words)
+            rows = _shorten(rows, reached, block_words)
     total = sum((F.coalesce(f"c{i}", F.lit(0).cast("long")) for i in range(shards)), F.lit(0).cast("long"))
     counted = state.filter("k = 0 or reached is not null").select("lang", "phrase", "k", total.alias("f"))
     return materialize(counted, "phrases")
