@@ -251,7 +251,10 @@ def fct_sensor_readings(staged: DataFrame, time_dimension: DataFrame | None = No
 
 
 def dim_sensor_health(staged: DataFrame) -> DataFrame:
-    """Health mart: score, status, alerts and required actions, without duplicates."""
+    """Health mart: score, status, alerts and required actions, one row for each reading.
+
+    Readings are unique by id and time since silver, so no duplicates can arise.
+    """
     flags = [F.col(n) for n in ("is_ph_optimal", "is_tds_optimal", "is_temp_optimal")]
     environment = F.col("is_environment_optimal")
     return staged.select(
@@ -265,4 +268,4 @@ def dim_sensor_health(staged: DataFrame) -> DataFrame:
         ],
         action_flag(F.col("ph_level"), PH_ACTION).alias("ph_action_required"),
         action_flag(F.col("tds_level"), TDS_ACTION).alias("tds_action_required"),
-    ).distinct()
+    )

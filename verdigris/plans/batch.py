@@ -183,15 +183,20 @@ def train_models(
     lake: Lake,
     trees: TreeParams = TreeParams(),
     sequences: Mapping[str, SequenceParams] | None = None,
-) -> None:
-    """Fit trees and window forecasts on the stored features and save them with their inputs."""
+) -> tuple:
+    """Fit trees and window forecasts on the stored features and save them with their inputs.
+
+    Returns the trees and the forecasts by the name of their prediction column.
+    """
     inputs = [name for name in feature_names(features, target="ph_level") if name != LABEL]
     total = features.count()
     model, _ = train_trees(features, params=trees)
     save_model(features.sparkSession, model, lake.path("models", "lightgbm_prediction"))
+    forecasts = {}
     for name, params in (sequences or DEFAULT_SEQUENCES).items():
-        fitted, _ = train_forecaster(features, inputs, total, params)
-        save_model(features.sparkSession, fitted, lake.path("models", name))
+        forecasts[name], _ = train_forecaster(features, inputs, total, params)
+        save_model(features.sparkSession, forecasts[name], lake.path("models", name))
+    return model, forecasts
 
 
 def score_features(

@@ -50,7 +50,7 @@ from verdigris.plans.oracle import (
     using,
 )
 from verdigris.plans.registry import Tables, query, rounded
-from verdigris.schemas import ACTUATORS, NARROW_BANDS, RAW_COLUMNS
+from verdigris.schemas import ACTUATOR_NAMES, ACTUATORS, INDICATORS, NARROW_BANDS, RAW_COLUMNS
 from verdigris.session import scratch_path
 from verdigris.sources.sinks import export_csv, write_parquet
 
@@ -164,12 +164,15 @@ def _(t: Tables):
     return stg_passthrough(t.time, "stg_time_dimension")
 
 
+_FLAGS = [*ACTUATOR_NAMES, *INDICATORS]
+
+
 @query(
     "bool_to_int",
-    using("fact", "select reading_id, timestamp_key, cast(is_ex_fan_on as integer) as ex_fan_state from fact"),
+    using("fact", "select reading_id, timestamp_key, " + ", ".join(f"cast({c} as integer) as {c}" for c in _FLAGS) + " from fact"),
 )
 def _(t: Tables):
-    return t.fact.select(*_READING, bool_to_int(F.col("is_ex_fan_on")).alias("ex_fan_state"))
+    return t.fact.select(*_READING, *[bool_to_int(F.col(c)).alias(c) for c in _FLAGS])
 
 
 # Spellings a warehouse load may produce, one per event.
@@ -264,12 +267,39 @@ def _(t: Tables):
     return t.daily.select("reading_date", "daily_health_score", "daily_environment_efficiency_pct")
 
 
+_MEASURED = ["pH", "TDS", "DHT_temp", "DHT_humidity", "water_temp"]
+_ODD = ["nan", "inf", "-inf"]  # of 40 readings, one measure of the first three is made one of these
+
+
+def _odd_sql(i: int, c: str) -> str:
+    cases = " ".join(f"when {i * 4 + k} then cast('{v}' as double)" for k, v in enumerate(_ODD))
+    return f'case cast(id as bigint) % 40 {cases} else "{c}" end as "{c}"'
+
+
 @query(
     "finite_mask",
-    using("typed", """select id, source_file, "pH" as ph from typed where "pH" is not null"""),
+    using(
+        "typed",
+        "select * from (select id, source_file, "
+        + ", ".join(_odd_sql(i, c) for i, c in enumerate(_MEASURED))
+        + " from typed) where "
+        + " and ".join(f'isfinite("{c}")' for c in _MEASURED),
+    ),
 )
 def _(t: Tables):
-    return t.typed.filter(is_finite(F.col("pH"))).select(*_KEY, F.col("pH").alias("ph"))
+    """Rows of which all five measures are numbers, from readings with NaN and infinities."""
+
+    def odd(i: int, c: str):
+        value = F.col(c)
+        for k, v in enumerate(_ODD):
+            value = F.when(F.col("id") % 40 == i * 4 + k, F.lit(float(v))).otherwise(value)
+        return value.alias(c)
+
+    rows = t.typed.select(*_KEY, *[odd(i, c) for i, c in enumerate(_MEASURED)])
+    every = F.lit(True)
+    for c in _MEASURED:
+        every = every & is_finite(F.col(c))
+    return rows.filter(every)
 
 
 @query("fct_sensor_readings", using("fct", "select * from fct"))
@@ -343,20 +373,21 @@ def _(t: Tables):
     return rounded(t.daily)
 
 
+_COUNTED = [*[staged for staged, _, _ in ACTUATOR_NAMES.values()], *INDICATORS, "is_environment_optimal"]
+
+
 @query(
     "conditional_count",
     using(
         "stg",
-        """select reading_hour, cast(sum(case when ex_fan_on then 1 else 0 end) as bigint) as fan_on,
-           cast(sum(case when is_environment_optimal then 1 else 0 end) as bigint) as all_optimal
-           from stg group by reading_hour""",
+        "select reading_date, reading_hour, "
+        + ", ".join(f"cast(sum(case when {c} then 1 else 0 end) as bigint) as {c}" for c in _COUNTED)
+        + " from stg group by 1, 2",
     ),
 )
 def _(t: Tables):
-    return t.staged.groupBy("reading_hour").agg(
-        conditional_count(F.col("ex_fan_on")).alias("fan_on"),
-        conditional_count(F.col("is_environment_optimal")).alias("all_optimal"),
-    )
+    counts = [conditional_count(F.col(c)).alias(c) for c in _COUNTED]
+    return t.staged.groupBy("reading_date", "reading_hour").agg(*counts)
 
 
 @query(

@@ -17,6 +17,7 @@ from verdigris.operators.metrics import (
 from verdigris.operators.mlprep import (
     LABEL,
     SEED,
+    check_features,
     class_weights,
     env_label,
     feature_names,
@@ -33,7 +34,6 @@ from verdigris.operators.mlprep import (
 )
 from verdigris.operators.models import (
     SequenceParams,
-    TreeParams,
     ensemble_average,
     score_batch,
     train_forecaster,
@@ -43,12 +43,12 @@ from verdigris.operators.sequences import fill_gaps, inference_windows, window_w
 from verdigris.plans.batch import Lake, feature_series, refresh_features, score_features, train_models
 from verdigris.plans.oracle import replace_rounded, round6, round_sql, using
 from verdigris.plans.registry import Tables, query, rounded
-from verdigris.schemas import INDICATORS, MEASURES
+from verdigris.schemas import ACTUATOR_NAMES, INDICATORS, MEASURES
 from verdigris.session import materialize, scratch_path
 
 _KEYS = 'reading_id, "timestamp"'
 _LABEL_SQL = "cast(is_ph_optimal + is_tds_optimal + is_temp_optimal + is_humidity_optimal = 4 as integer)"
-_SCALED = ["tds_level", "air_temperature", "air_humidity"]
+_SCALED = [*MEASURES, *[state for _, _, state in ACTUATOR_NAMES.values()], *INDICATORS]  # all inputs
 
 
 @query("env_label", using("base", f"select {_KEYS}, {_LABEL_SQL} as is_env_optimal from base"))
@@ -77,37 +77,33 @@ def _(t: Tables):
     "fill_zero",
     using(
         "base",
-        f"""select {_KEYS}, {round6('coalesce(cast(ph_level as float), 0)', 3)} as ph_level,
-            {round6('coalesce(cast(ph_reducer_state as float), 0)', 3)} as ph_reducer_state from base""",
+        f"select {_KEYS}, "
+        + ", ".join(f"{round6(f'coalesce(cast({c} as float), 0)', 3)} as {c}" for c in _SCALED)
+        + " from base",
     ),
 )
 def _(t: Tables):
-    filled = fill_zero(t.base, ["ph_level", "ph_reducer_state"])
-    return rounded(filled.select("reading_id", "timestamp", "ph_level", "ph_reducer_state"), 3)
+    return rounded(fill_zero(t.base, _SCALED).select("reading_id", "timestamp", *_SCALED), 3)
 
 
-@query(
-    "prepare_tabular",
-    using(
-        "base",
-        f"""select {_KEYS}, round(coalesce(ph_level, (select avg(ph_level) from base)) + 1.3e-8, 6) as ph_level,
-            round(coalesce(ph_reducer_state, (select avg(ph_reducer_state) from base)) + 1.3e-8, 6) as ph_reducer_state
-            from base""",
-    ),
-)
+def _filled_sql(source: str, rows: str) -> str:
+    """Every input, missing values replaced by the mean over ``rows``."""
+    means = ", ".join(f"avg({c}) as m_{c}" for c in _SCALED)
+    filled = ", ".join(f"round(coalesce({c}, m_{c}) + 1.3e-8, 6) as {c}" for c in _SCALED)
+    return f"{filled} from {source}, (select {means} from {source} where {rows})"
+
+
+@query("prepare_tabular", using("base", f"select {_KEYS}, {_filled_sql('base', 'true')}"))
 def _(t: Tables):
-    """Means over all rows, which SQL can reproduce; the default takes training rows only."""
-    columns = ["ph_level", "ph_reducer_state"]
-    prepared = prepare_tabular(
-        env_label(t.base), LABEL, columns, ["reading_id", "timestamp"], fill_from_all=True
-    )
-    return rounded(prepared.select("reading_id", "timestamp", *columns))
+    """Means over all rows; the default takes training rows only."""
+    key = ["reading_id", "timestamp"]
+    prepared = prepare_tabular(env_label(t.base), LABEL, _SCALED, key, fill_from_all=True)
+    return rounded(prepared.select(*key, *_SCALED))
 
 
-@query("mean_fill", using("base", f"select {_KEYS}, round(coalesce(ph_level, (select avg(ph_level) from base)) + 1.3e-8, 6) as ph_level from base"))
+@query("mean_fill", using("base", f"select {_KEYS}, {_filled_sql('base', 'true')}"))
 def _(t: Tables):
-    rows = t.base.select("reading_id", "timestamp", "ph_level")
-    return rounded(mean_fill(rows, ["ph_level"]))
+    return rounded(mean_fill(t.base.select("reading_id", "timestamp", *_SCALED), _SCALED))
 
 
 def _bucket_sql(seed: int) -> str:
@@ -115,6 +111,31 @@ def _bucket_sql(seed: int) -> str:
     return f"cast('0x' || substr(md5({text}), 1, 8) as bigint) % 1000"
 
 
+@query(
+    "prepare_tabular_train_means",
+    using(
+        "base",
+        f"""select {_KEYS}, {LABEL}, is_train, {_filled_sql(
+            f"(select *, {_LABEL_SQL} as {LABEL}, {_bucket_sql(SEED)} >= 200 as is_train from base)", "is_train")}""",
+    ),
+)
+def _(t: Tables):
+    """The default: means of training rows only, with label and split."""
+    key = ["reading_id", "timestamp"]
+    prepared = prepare_tabular(env_label(t.base), LABEL, _SCALED, key)
+    return rounded(prepared.select(*key, LABEL, "is_train", *_SCALED))
+
+
+@query(
+    "feature_spec_check",
+    using("base", f"select {_KEYS}, {', '.join(_SCALED)} from base"),
+)
+def _(t: Tables):
+    """Declared features are all there, in the declared number; otherwise this is an error."""
+    check_features(t.base, _SCALED, expected=len(_SCALED))
+    return t.base.select("reading_id", "timestamp", *_SCALED)
+
+
 @query(
     "hash_split",
     using(
@@ -159,16 +180,23 @@ def _(t: Tables):
     return rounded(class_weights(env_label(t.base)))
 
 
+def _stats_sql(*pairs: tuple[str, str]) -> str:
+    """One row of statistics of every input, by prefix and function."""
+    return "(select " + ", ".join(f"cast({f}({c}) as double) as {p}_{c}" for p, f in pairs for c in _SCALED) + " from base)"
+
+
+def _score_sql(c: str) -> str:
+    return f"({c} - m_{c}) / (case when s_{c} = 0 then 1 else s_{c} end)"
+
+
+_MOMENTS = _stats_sql(("m", "avg"), ("s", "stddev_pop"))
+
+
 @query(
     "scale_standard",
     using(
         "base",
-        f"select {_KEYS}, "
-        + ", ".join(
-            f"round(({c} - (select avg({c}) from base)) / (select stddev_pop({c}) from base) + 1.3e-8, 6) as {c}"
-            for c in _SCALED
-        )
-        + " from base",
+        f"select {_KEYS}, " + ", ".join(f"round({_score_sql(c)} + 1.3e-8, 6) as {c}" for c in _SCALED) + f" from base, {_MOMENTS}",
     ),
 )
 def _(t: Tables):
@@ -181,18 +209,23 @@ _WEIGHT_SQL = """select *, greatest(0, least(position, cast(floor((n - 24) * 0.8
   from (select *, (select count(*) from numbered) as n from numbered)"""
 
 
+def _present_sql(c: str, over: str = "") -> str:
+    """Weight of the rows that have a value."""
+    return f"sum(case when {c} is not null then w end) {over}"
+
+
 @query(
     "scale_standard_windows",
     using(
         "numbered",
         "select "
-        + ", ".join(f"round(sum(w * {c}) / sum(w) + 1.3e-8, 6) as mean_{c}" for c in _SCALED)
+        + ", ".join(f"round(sum(w * {c}) / {_present_sql(c)} + 1.3e-8, 6) as mean_{c}" for c in _SCALED)
         + ", "
         + ", ".join(
-            f"round(sqrt(sum(w * ({c} - m_{c}) * ({c} - m_{c})) / sum(w)) + 1.3e-8, 6) as std_{c}" for c in _SCALED
+            f"round(sqrt(sum(w * ({c} - m_{c}) * ({c} - m_{c})) / {_present_sql(c)}) + 1.3e-8, 6) as std_{c}" for c in _SCALED
         )
         + " from (select *, "
-        + ", ".join(f"sum(w * {c}) over () / sum(w) over () as m_{c}" for c in _SCALED)
+        + ", ".join(f"sum(w * {c}) over () / {_present_sql(c, 'over ()')} as m_{c}" for c in _SCALED)
         + f" from ({_WEIGHT_SQL}))",
     ),
 )
@@ -209,10 +242,10 @@ def _(t: Tables):
         "base",
         f"select {_KEYS}, "
         + ", ".join(
-            f"round(({c} - (select min({c}) from base)) / ((select max({c}) from base) - (select min({c}) from base)) + 1.3e-8, 6) as {c}"
+            f"round(({c} - l_{c}) / (case when h_{c} = l_{c} then 1 else h_{c} - l_{c} end) + 1.3e-8, 6) as {c}"
             for c in _SCALED
         )
-        + " from base",
+        + f" from base, {_stats_sql(('l', 'min'), ('h', 'max'))}",
     ),
 )
 def _(t: Tables):
@@ -228,11 +261,11 @@ def _(t: Tables):
         + ", ".join(f"round(({c} - m_{c}) / (s_{c} + 1e-8) + 1.3e-8, 6) as {c}" for c in _SCALED)
         + " from (select *, "
         + ", ".join(
-            f"sqrt(sum(w * ({c} - m_{c}) * ({c} - m_{c})) over () / (sum(w) over () - 1)) as s_{c}"
+            f"sqrt(sum(w * ({c} - m_{c}) * ({c} - m_{c})) over () / ({_present_sql(c, 'over ()')} - 1)) as s_{c}"
             for c in _SCALED
         )
         + " from (select *, "
-        + ", ".join(f"sum(w * {c}) over () / sum(w) over () as m_{c}" for c in _SCALED)
+        + ", ".join(f"sum(w * {c}) over () / {_present_sql(c, 'over ()')} as m_{c}" for c in _SCALED)
         + """ from (select *, greatest(0, least(position, n - 25) - greatest(0, position - 23) + 1) as w
              from (select *, (select count(*) from numbered) as n from numbered))))""",
     ),
@@ -246,11 +279,21 @@ def _(t: Tables):
     return rounded(scale_standard(rows, _SCALED, stats, epsilon=1e-8))
 
 
-@query("inverse_scale", using("base", f"select {_KEYS}, {round_sql(_SCALED)} from base"))
+@query(
+    "inverse_scale",
+    using(
+        "base",
+        f"select {_KEYS}, "
+        + ", ".join(f"round({_score_sql(c)} + 1.3e-8, 6) as scaled_{c}, {round6(c)} as {c}" for c in _SCALED)
+        + f" from base, {_MOMENTS}",
+    ),
+)
 def _(t: Tables):
+    """Scaled values beside those restored from them."""
     rows = t.base.select("reading_id", "timestamp", *_SCALED)
     stats = standard_stats(rows, _SCALED)
-    return rounded(inverse_scale(scale_standard(rows, _SCALED, stats), _SCALED, stats))
+    scaled = scale_standard(rows, _SCALED, stats).withColumns({f"scaled_{c}": F.col(c) for c in _SCALED})
+    return rounded(inverse_scale(scaled, _SCALED, stats))
 
 
 # --- metrics on a baseline both engines can compute: the previous pH predicts the next ---
@@ -470,20 +513,15 @@ def _(t: Tables):
     ),
 )
 def _(t: Tables):
-    """Feature, training and scoring jobs through stored features and saved models.
+    """Feature, training and scoring jobs with their defaults, through stored features and models.
 
-    The scores of the loaded models are compared with those of a model fitted in process.
+    The scores of the loaded models are compared with those of the models as they were fitted.
     """
     lake = Lake(scratch_path(t.spark, "lake"))
-    few = TreeParams(rounds=5)  # saving does not depend on their number
     features = refresh_features(t.fact, lake)
-    sequences = {"lstm_prediction": SequenceParams(penalty=0.1)}
-    train_models(features, lake, few, sequences)
-    stored = score_features(features, lake, list(sequences))
-    _, inputs = feature_series(t.fact)
-    trees, _ = train_trees(features, params=few)
-    first, _ = train_forecaster(features, inputs, features.count(), sequences["lstm_prediction"])
-    here = score_batch(features, trees, {"lstm_prediction": first})
+    trees, forecasts = train_models(features, lake)
+    stored = score_features(features, lake)
+    here = score_batch(features, trees, forecasts)
     key, value = ["reading_id", "timestamp"], F.col("ensemble_avg")
     both = stored.select(*key, value.alias("a")).join(here.select(*key, value.alias("b")), key, "full")
     off = F.coalesce(F.abs(F.col("a") - F.col("b")) > 1e-9, F.lit(True))

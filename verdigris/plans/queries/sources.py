@@ -9,12 +9,12 @@ from pyspark.sql import functions as F, types as T
 
 from verdigris.operators.gold import dim_time, gold_fact
 from verdigris.operators.silver import build_silver, silver_dedup
-from verdigris.plans.oracle import using
-from verdigris.plans.registry import Tables, query
-from verdigris.schemas import RAW_COLUMNS, RAW_SCHEMA
+from verdigris.plans.oracle import HOURLY_MEANS, replace_rounded, using
+from verdigris.plans.registry import Tables, query, rounded
+from verdigris.schemas import ACTUATOR_NAMES, INDICATORS, MEASURES, RAW_COLUMNS, RAW_SCHEMA
 from verdigris.session import scratch_path
 from verdigris.sources.counted import count_while_writing, publish_verified, watch
-from verdigris.sources.publish import format_timestamps
+from verdigris.sources.publish import format_timestamps, warehouse_columns
 from verdigris.sources.rescue import rescue_csv, rescue_json, route_rescued
 from verdigris.sources.routing import Route, replay_pack, route_by_date, write_requests, write_routes
 from verdigris.sources.scans import (
@@ -27,7 +27,7 @@ from verdigris.sources.scans import (
     scan_table,
     union_sources,
 )
-from verdigris.sources.sinks import export_csv, write_layer, write_parquet, write_table
+from verdigris.sources.sinks import ensure_namespace, export_csv, write_layer, write_parquet, write_table
 
 # Order of a replay: arrival order made total.
 REPLAY_ORDER = ["ingestion_timestamp", "id", "source_file"]
@@ -70,10 +70,49 @@ def _(t: Tables):
     return scan_parquet_or_table(t.spark, absent, name).select("id", "timestamp", "source_file")
 
 
-@query("scan_table", using("fact", "select reading_id, timestamp_key, ph_level from fact"))
+@query("scan_table", using("fact", "select * exclude (device_id) from fact"))
 def _(t: Tables):
     name = write_table(t.fact, _table_name(), path=scratch_path(t.spark, "table"))
-    return scan_table(t.spark, name).select("reading_id", "timestamp_key", "ph_level")
+    return scan_table(t.spark, name)
+
+
+@query("ensure_namespace", using("silver", 'select id, "timestamp", source_file from silver'))
+def _(t: Tables):
+    """A table in a database of its own, which is created for it."""
+    full = ensure_namespace(t.spark, f"lake_{uuid.uuid4().hex[:12]}.readings")
+    rows = t.silver.select("id", "timestamp", "source_file")
+    write_table(rows, full, path=scratch_path(t.spark, "namespace"))
+    return scan_table(t.spark, full)
+
+
+# The type of each published fact column.
+_PUBLISHED = {
+    **dict.fromkeys(["reading_id", "water_level"], "INTEGER"),
+    **dict.fromkeys([m for m in MEASURES if m != "water_level"], "FLOAT"),
+    **dict.fromkeys([*ACTUATOR_NAMES, *INDICATORS], "BOOLEAN"),
+    **dict.fromkeys(["timestamp_key", "ingestion_timestamp"], "TIMESTAMP_NTZ"),
+    "source_file": "VARCHAR(16777216)",
+}
+
+
+@query(
+    "publish_type_map",
+    using(
+        "fact",
+        " union all ".join(
+            f"select '{c}' as column_name, '{kind}' as warehouse_type, count({c}) as present from fact"
+            for c, kind in _PUBLISHED.items()
+        ),
+    ),
+)
+def _(t: Tables):
+    """Warehouse type of each column as it is published, and how many values it loads."""
+    published = format_timestamps(t.fact)
+    types = warehouse_columns(published)
+    kinds = F.create_map(*[F.lit(x) for pair in types.items() for x in pair])
+    counts = published.agg(*[F.count(c).alias(c) for c in types])
+    long = counts.unpivot([], list(types), "column_name", "present")
+    return long.select("column_name", kinds[F.col("column_name")].alias("warehouse_type"), "present")
 
 
 @query(
@@ -221,11 +260,10 @@ def _(t: Tables):
     )
 
 
-@query("export_csv", using("hourly", "select reading_date, reading_hour, reading_count from hourly"))
+@query("export_csv", using("hourly", f"select {replace_rounded(HOURLY_MEANS)} from hourly"))
 def _(t: Tables):
-    shown = t.hourly.select("reading_date", "reading_hour", "reading_count")
-    path = export_csv(shown, scratch_path(t.spark, "export"))
-    return t.spark.read.schema(shown.schema).option("header", True).csv(path)
+    path = export_csv(t.hourly, scratch_path(t.spark, "export"))
+    return rounded(t.spark.read.schema(t.hourly.schema).option("header", True).csv(path))
 
 
 @query(
@@ -241,14 +279,16 @@ def _(t: Tables):
     return add_ingest_metadata(t.bronze.select("id", "timestamp"), "readings.csv", F.lit(now))
 
 
-@query("normalize_strings", using("typed", """select
-  cast(id as varchar) as id, strftime("timestamp", '%Y-%m-%d %H:%M:%S') as "timestamp",
-  cast(water_level as varchar) as water_level, cast("pH_reducer" as varchar) as "pH_reducer",
-  cast(humidifier as varchar) as humidifier, cast(null as varchar) as ex_fan from typed"""))
+def _text_sql(c: str) -> str:
+    if c == "ex_fan":
+        return "cast(null as varchar) as ex_fan"
+    return f"""strftime("{c}", '%Y-%m-%d %H:%M:%S') as "{c}\"""" if c == "timestamp" else f'cast("{c}" as varchar) as "{c}"'
+
+
+@query("normalize_strings", using("typed", "select " + ", ".join(map(_text_sql, RAW_COLUMNS)) + " from typed"))
 def _(t: Tables):
     """Typed values as text; a column the source lacks comes out null."""
-    wanted = ["id", "timestamp", "water_level", "pH_reducer", "humidifier", "ex_fan"]
-    return normalize_strings(t.typed.drop("ex_fan")).select(*wanted)
+    return normalize_strings(t.typed.drop("ex_fan"))
 
 
 @query(

@@ -24,6 +24,7 @@ from verdigris.plans.oracle import (
     windows_sql,
 )
 from verdigris.plans.registry import Tables, query, rounded
+from verdigris.schemas import ACTUATOR_NAMES, INDICATORS, MEASURES
 
 _AVERAGES = [n for n in ROLLING_NAMES if "_avg_" in n]
 _KEYS = 'reading_id, "timestamp"'
@@ -65,31 +66,48 @@ def _(t: Tables):
     return rounded(sensor_features(t.device_fact, partition_by=("device_id",)))
 
 
-# Windows are compared as text-free summaries: a position-weighted checksum per window.
-_SEQ_SQL = """select position - 24 as sample, round(first_tds + 1.3e-8, 6) as first_tds, round(last_tds + 1.3e-8, 6) as last_tds,
-  round(sum_tds + 1.3e-8, 6) as sum_tds, n as steps, round(ph_level + 1.3e-8, 6) as y from (
-  select position, ph_level, count(*) over w as n, first_value(tds_level) over w as first_tds,
-    last_value(tds_level) over w as last_tds, sum(tds_level) over w as sum_tds
-  from numbered window w as (order by position rows between 24 preceding and 1 preceding))
-  where n = 24"""
+# Windows are compared by first and last step, sum, and a sum weighted by step, of each input.
+_STEPS = "window w as (order by position rows between 24 preceding and 1 preceding)"
+_WINDOWED = ["tds_level", "air_temperature", "air_humidity"]
 
 
-@query("sequence_windows", using("numbered", _SEQ_SQL))
+def _digest_sql(c: str) -> str:
+    weighted = f"sum((position + 1) * {c}) over w - (first_value(position) over w) * (sum({c}) over w)"
+    return (
+        f"round(first_value({c}) over w + 1.3e-8, 6) as first_{c}, round(last_value({c}) over w + 1.3e-8, 6) as last_{c}, "
+        f"round(sum({c}) over w + 1.3e-8, 6) as sum_{c}, round({weighted} + 1.3e-8, 4) as weighted_{c}"
+    )
+
+
+def _step_values(i: int):
+    """Input ``i`` of each step of a window."""
+    return F.transform("x", lambda row: row[i].cast("double"))
+
+
+def _digest(values, c: str) -> list:
+    """First, last, sum and weighted sum of an array of numbers."""
+    total = F.aggregate(values, F.lit(0.0), lambda a, v: a + v)
+    weighted = F.aggregate(F.transform(values, lambda v, i: v * (i + 1)), F.lit(0.0), lambda a, v: a + v)
+    return [
+        *[F.round(v + F.lit(1.3e-8), 6).alias(f"{n}_{c}") for n, v in (("first", values[0]), ("last", values[23]), ("sum", total))],
+        F.round(weighted + F.lit(1.3e-8), 4).alias(f"weighted_{c}"),
+    ]
+
+
+@query(
+    "sequence_windows",
+    using(
+        "numbered",
+        "select * exclude (n) from (select position - 24 as sample, count(*) over w as n, round(ph_level + 1.3e-8, 6) as y, "
+        + ", ".join(_digest_sql(c) for c in _WINDOWED)
+        + f" from numbered {_STEPS}) where n = 24",
+    ),
+)
 def _(t: Tables):
     """24 steps of TDS, air temperature and humidity, and the pH that follows."""
-    inputs = ["tds_level", "air_temperature", "air_humidity"]
-    windows = sequence_windows(t.numbered(*inputs, "ph_level"), inputs, 24, "ph_level")
-    tds = F.transform("x", lambda row: row[0])
-    return rounded(
-        windows.select(
-            "sample",
-            tds[0].alias("first_tds"),
-            F.element_at(tds, -1).alias("last_tds"),
-            F.aggregate(tds, F.lit(0.0), lambda a, v: a + v).alias("sum_tds"),
-            F.size("x").cast("bigint").alias("steps"),
-            "y",
-        )
-    )
+    windows = sequence_windows(t.numbered(*_WINDOWED, "ph_level"), _WINDOWED, 24, "ph_level")
+    digests = [x for i, c in enumerate(_WINDOWED) for x in _digest(_step_values(i), c)]
+    return windows.select("sample", F.round(F.col("y") + F.lit(1.3e-8), 6).alias("y"), *digests)
 
 
 @query(
@@ -119,20 +137,26 @@ def _(t: Tables):
     "inference_windows",
     using(
         "numbered",
-        """select position, reading_id, position - 24 as sample, round(s, 3) as sum_ph from (
-           select position, reading_id, count(*) over w as n,
-             sum(cast(coalesce(cast(ph_level as float), 0) as double)) over w as s
-           from numbered window w as (order by position rows between 24 preceding and 1 preceding)) where n = 24""",
+        "select * exclude (n) from (select position, reading_id, position - 24 as sample, count(*) over w as n, "
+        + ", ".join(f"round(sum(f_{c}) over w, 3) as sum_{c}, f_last_{c}" for c in MEASURES)
+        + " from (select *, "
+        + ", ".join(f"lag(f_{c}) over (order by position) as f_last_{c}" for c in MEASURES)
+        + " from (select *, "
+        + ", ".join(f"cast(coalesce(cast({c} as float), 0) as double) as f_{c}" for c in MEASURES)
+        + f" from numbered)) {_STEPS}) where n = 24",
     ),
 )
 def _(t: Tables):
-    inputs = ["ph_level", "tds_level"]
-    windows = inference_windows(t.numbered(*inputs), inputs, 24, keep=["position", "reading_id"])
-    total = F.aggregate("x", F.lit(0.0), lambda a, row: a + row[0].cast("double"))
-    return windows.select("position", "reading_id", "sample", F.round(total, 3).alias("sum_ph"))
+    """Every measure as an input, compared by its sum and its last step."""
+    windows = inference_windows(t.numbered(*MEASURES), MEASURES, 24, keep=["position", "reading_id"])
+    columns = []
+    for i, c in enumerate(MEASURES):
+        total = F.aggregate(_step_values(i), F.lit(0.0), lambda a, v: a + v)
+        columns += [F.round(total, 3).alias(f"sum_{c}"), F.element_at(_step_values(i), -1).alias(f"f_last_{c}")]
+    return windows.select("position", "reading_id", "sample", *columns)
 
 
-_FILLED = ["ph_level", "ph_reducer_state", "add_water_state"]
+_FILLED = [*MEASURES, *[state for _, _, state in ACTUATOR_NAMES.values()], *INDICATORS]
 
 
 @query(
@@ -168,21 +192,23 @@ def _(t: Tables):
     return chrono_split(numbered, F.col("total"), index="position").drop("total")
 
 
+_ORDERED = "struct_pack(a := timestamp_key, b := reading_id)"
+
+
 @query(
     "trajectory_summary",
     using(
         "stg",
         """select reading_date, count(*) as steps,
-           cast(sum(case when is_environment_optimal then 1 else 0 end) as bigint) as optimal_steps,
-           arg_min_null(ph_level, struct_pack(a := timestamp_key, b := reading_id)) as first_ph_level,
-           arg_min_null(tds_level, struct_pack(a := timestamp_key, b := reading_id)) as first_tds_level,
-           arg_max_null(ph_level, struct_pack(a := timestamp_key, b := reading_id)) as last_ph_level,
-           arg_max_null(tds_level, struct_pack(a := timestamp_key, b := reading_id)) as last_tds_level
-           from stg group by reading_date""",
+           cast(sum(case when is_environment_optimal then 1 else 0 end) as bigint) as optimal_steps, """
+        + ", ".join(
+            f"arg_{end}_null({c}, {_ORDERED}) as {name}_{c}"
+            for end, name in (("min", "first"), ("max", "last"))
+            for c in MEASURES
+        )
+        + " from stg group by reading_date",
     ),
 )
 def _(t: Tables):
     order = F.struct("timestamp_key", "reading_id")
-    return trajectory_summary(
-        t.staged, [F.col("reading_date")], order, ["ph_level", "tds_level"], F.col("is_environment_optimal")
-    )
+    return trajectory_summary(t.staged, [F.col("reading_date")], order, MEASURES, F.col("is_environment_optimal"))
