@@ -154,3 +154,25 @@ def metrics_long(metrics: DataFrame, run: str, step: int | None = None) -> DataF
         .filter(F.col("value").isNotNull() & ~F.isnan("value"))
         .select(F.lit(run).alias("run"), F.lit(step).cast("int").alias("step"), "name", "value")
     )
+
+
+def staged_log(df: DataFrame, actual: str, stages: list[str], run: str) -> DataFrame:
+    """Forecast metrics of each stage of a model as ``(run, step, name, value)``, in one pass.
+
+    ``stages`` are prediction columns in order; steps count from 1. Pairs that are not finite
+    are left out of their own stage only, and missing metrics drop out.
+    """
+    aggregates = []
+    for step, name in enumerate(stages, 1):
+        y, p = F.col(actual).cast("double"), F.col(name).cast("double")
+        error = F.when(is_finite(y) & is_finite(p), y - p)
+        relative = F.when(y != 0, F.abs(error / y))
+        aggregates += [
+            F.avg(F.abs(error)).alias(f"mae|{step}"),
+            F.sqrt(F.avg(error * error)).alias(f"rmse|{step}"),
+            (F.avg(relative) * 100).alias(f"mape|{step}"),
+        ]
+    row = df.agg(*aggregates)
+    found = row.unpivot([], row.columns, "stage", "value").filter(F.col("value").isNotNull() & ~F.isnan("value"))
+    stage = F.split("stage", "[|]")
+    return found.select(F.lit(run).alias("run"), stage[1].cast("int").alias("step"), stage[0].alias("name"), "value")

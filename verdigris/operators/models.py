@@ -13,6 +13,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression, LinearRegressionModel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from verdigris.operators.metrics import METRIC_ROWS
 from verdigris.operators.mlprep import (
     LABEL,
     SEED,
@@ -117,6 +118,27 @@ def train_trees(
     return TabularModel(learner.fit(training), columns, classify), prepared
 
 
+def boosting_log(model: TabularModel, rows: DataFrame, target: str, run: str) -> DataFrame:
+    """Loss of the model after each boosting round over ``rows``: ``(run, step, name, value)``.
+
+    All rounds are evaluated in one pass over the rows.
+    """
+    check_features(rows, model.features, model.model.numFeatures)
+    inputs = [F.coalesce(F.col(n).cast("float"), F.lit(0.0)).cast("double") for n in model.features]
+    names = {
+        model.model.getLabelCol(): F.col(target).cast("double"),
+        model.model.getFeaturesCol(): array_to_vector(F.array(*inputs)),
+        model.model.getOrDefault("weightCol"): F.lit(1.0),
+    }
+    data = rows.select(*[column.alias(name) for name, column in names.items()])
+    if model.classifies:
+        found = model.model.evaluateEachIteration(data)
+    else:
+        found = model.model.evaluateEachIteration(data, "squared")
+    log = [(run, step, "loss", float(value)) for step, value in enumerate(found, 1)]
+    return rows.sparkSession.createDataFrame(log, METRIC_ROWS)
+
+
 @dataclass
 class SequenceModel:
     """A fitted window model with the scaling statistics of its training rows."""

@@ -10,9 +10,9 @@ from verdigris.operators.metrics import (
     classification_metrics,
     confusion_matrix,
     forecast_metrics,
-    metrics_long,
     prediction_stats,
     regression_metrics,
+    staged_log,
 )
 from verdigris.operators.mlprep import (
     LABEL,
@@ -39,7 +39,8 @@ from verdigris.operators.models import (
     train_forecaster,
     train_trees,
 )
-from verdigris.operators.sequences import fill_gaps, inference_windows, window_weight
+from verdigris.operators.ordering import in_chunks
+from verdigris.operators.sequences import inference_windows, window_weight
 from verdigris.plans.batch import Lake, feature_series, refresh_features, score_features, train_models
 from verdigris.plans.oracle import replace_rounded, round6, round_sql, using
 from verdigris.plans.registry import Tables, query, rounded
@@ -456,52 +457,113 @@ def _series(t: Tables):
     return series, inputs, series.count()
 
 
-@query("train_gbt")
+_TEST_ROWS = f"count(*) filter (not ({_bucket_sql(SEED)} >= 200))"
+
+
+@query(
+    "train_gbt",
+    using(
+        "base",
+        f"""select {_TEST_ROWS} as test_rows, cast(29 as integer) as features, cast(0 as bigint) as null_scores,
+            cast(0 as bigint) as no_probability from base""",
+    ),
+)
 def _(t: Tables):
-    """Test metrics of boosted trees on the feature table."""
+    """Boosted trees on the feature table: what must hold of the scores of the test rows."""
     features = materialize(env_label(t.features), "features")
     model, prepared = train_trees(features)
-    scored = model.score(prepared.filter("not is_train"), "probability")
-    return classification_metrics(scored, LABEL, "probability")
+    scored = model.score(prepared.filter("not is_train"), "p").select("p")
+    return scored.agg(
+        F.count(F.lit(1)).alias("test_rows"),
+        F.lit(len(model.features)).alias("features"),
+        F.count_if(F.col("p").isNull()).alias("null_scores"),
+        F.count_if(~F.col("p").between(0, 1)).alias("no_probability"),
+    )
+
 
+_SAMPLES = "(select count(*) - 24 as samples from base)"
 
-@query("train_forecaster")
+
+@query(
+    "train_forecaster",
+    using(
+        "numbered",
+        f"""select count(*) as test_rows, cast(36 as integer) as features, cast(0 as bigint) as null_forecasts,
+            {round6('avg(filled)')} as mean_actual
+            from (select position, coalesce(last_value(ph_level ignore nulls) over (order by position
+                rows between unbounded preceding and current row), first_value(ph_level ignore nulls) over (order by position
+                rows between current row and unbounded following), 0) as filled, count(*) over () - 24 as samples from numbered)
+            where position >= 24 + cast(floor(samples * 0.8e0) as bigint)""",
+    ),
+)
 def _(t: Tables):
-    """Test error of the window forecast of pH from every other numeric feature."""
+    """Window forecast of pH from every other numeric feature: what must hold of the test samples."""
     series, inputs, total = _series(t)
-    _, tested = train_forecaster(series, inputs, total, SequenceParams(penalty=0.1))
-    return forecast_metrics(tested, "actual", "predicted")
+    model, tested = train_forecaster(series, inputs, total, SequenceParams(penalty=0.1))
+    found = tested.agg(
+        F.count(F.lit(1)).alias("test_rows"),
+        F.lit(len(model.features)).alias("features"),
+        F.count_if(F.col("predicted").isNull() | F.isnan("predicted")).alias("null_forecasts"),
+        F.avg("actual").alias("mean_actual"),
+    )
+    return rounded(found)
 
 
-@query("score_batch")
+@query(
+    "score_batch",
+    using(
+        "base",
+        """select count(*) - 24 as scored_rows, count(*) - 24 as distinct_keys, cast(0 as bigint) as null_predictions,
+           cast(0 as bigint) as no_probability, cast(0 as bigint) as wrong_ensembles from base""",
+    ),
+)
 def _(t: Tables):
-    """All feature rows scored by two forecasts and the trees."""
+    """All feature rows scored by two forecasts and the trees: every row once, and the mean of three."""
     series, inputs, total = _series(t)
     trees, _ = train_trees(series)
     first, _ = train_forecaster(series, inputs, total, SequenceParams(penalty=0.1))
     second, _ = train_forecaster(series, inputs, total, SequenceParams(penalty=1.0, mix=0.5))
     scored = score_batch(series, trees, {"lstm_prediction": first, "gru_prediction": second})
-    return scored.drop("inference_timestamp")
+    some = F.lit(False)
+    for name in _PREDICTIONS:
+        some = some | F.col(name).isNull() | F.isnan(name)
+    mean = sum((F.col(n) for n in _PREDICTIONS[1:]), F.col(_PREDICTIONS[0])) / 3
+    return scored.agg(
+        F.count(F.lit(1)).alias("scored_rows"),
+        F.count_distinct("reading_id", "timestamp").alias("distinct_keys"),
+        F.count_if(some).alias("null_predictions"),
+        F.count_if(~F.col("lightgbm_prediction").between(0, 1)).alias("no_probability"),
+        F.count_if(~(F.abs(F.col("ensemble_avg") - mean) < 1e-9)).alias("wrong_ensembles"),
+    )
+
+
+def _lagged(rows: int) -> str:
+    return f"lag(ph_level, {rows}) over (order by position)"
 
 
 @query(
     "eval_history",
     using(
-        "features",
-        f"""select 'persistence' as run, cast(s as integer) as step, 'mae' as name, round(m + 1.3e-8, 6) as value
-            from (select avg(abs(y - p)) as m from ({_PAIRS}) where y is not null and p is not null),
-              (values (1), (2)) as steps(s)""",
+        "numbered",
+        "select 'persistence' as run, cast(step as integer) as step, name, round(value + 1.3e-8, 6) as value from ("
+        + " union all ".join(
+            f"select {k} as step, unnest(['mae', 'rmse', 'mape']) as name, unnest([avg(abs(y - p)), sqrt(avg((y - p) * (y - p))),"
+            f" avg(case when y <> 0 then abs((y - p) / y) end) * 100]) as value"
+            f" from (select ph_level as y, {_lagged(k)} as p from numbered) where y is not null and p is not null"
+            for k in (1, 2)
+        )
+        + ")",
     ),
 )
 def _(t: Tables):
-    """Metric rows of two evaluations appended to one log; missing metrics drop out."""
-    metrics = forecast_metrics(_pairs(t), "y", "p").select(
-        "mae", F.lit(None).cast("double").alias("mape")
+    """One row for each step and metric: forecasts by the value one and two readings before."""
+    stages = ["lag_1", "lag_2"]
+    rows = in_chunks(
+        t.numbered("ph_level"),
+        lambda w: [F.lag("ph_level", k).over(w).alias(name) for k, name in enumerate(stages, 1)],
+        len(stages),
     )
-    path = scratch_path(t.spark, "history")
-    for step in (1, 2):
-        metrics_long(metrics, "persistence", step).write.mode("append").parquet(path)
-    return rounded(t.spark.read.parquet(path))
+    return rounded(staged_log(rows, "ph_level", stages, "persistence"))
 
 
 @query(
