@@ -194,6 +194,23 @@ def _(t: Tables):
     return events.select("event_id", word.alias("word"), parse_bool_text(word).alias("flag"))
 
 
+def _flag_sql(c: str) -> str:
+    text = f'lower(trim("{c}"))'
+    return (
+        f"case when {text} in ('true', 't', 'yes', 'y', 'on', '1') then true"
+        f" when {text} in ('false', 'f', 'no', 'n', 'off', '0') then false end as \"{c}\""
+    )
+
+
+@query(
+    "parse_bool_actuators",
+    using("bronze", "select id, source_file, " + ", ".join(map(_flag_sql, ACTUATORS)) + " from bronze"),
+)
+def _(t: Tables):
+    """The actuator texts of the raw readings, other words read as missing."""
+    return t.bronze.select(*_KEY, *[parse_bool_text(F.col(c)).alias(c) for c in ACTUATORS])
+
+
 @query("stg_iot_data", using("stg", "select * from stg"))
 def _(t: Tables):
     return t.staged

@@ -1,4 +1,6 @@
-"""File-source streams over landed request files.
+"""File-source streams over landed request files, merged by rewriting the days they touch.
+
+``merge`` has the jobs whose writes follow the batch and whose replacements are atomic.
 
 Every job takes its own checkpoint folder, which together with the file source and the
 sinks makes the output exactly-once across restarts. Deduplication and roll-ups work
@@ -20,9 +22,6 @@ from verdigris.schemas import ENVELOPE_SCHEMA
 from verdigris.session import materialize
 from verdigris.sources.scans import add_ingest_metadata, explode_envelope, normalize_strings
 
-# A batch that touches more days than this reads the stored table without a day filter.
-MOST_DAYS = 1_000
-
 
 def read_landed(
     spark: SparkSession,
@@ -63,13 +62,12 @@ def run_available(writer: DataStreamWriter) -> StreamingQuery:
     return query
 
 
-def _touched_days(batch: DataFrame) -> list | None:
-    """Days of a stored batch, or None if there are too many for a filter."""
-    days = [row.day for row in batch.select("day").distinct().limit(MOST_DAYS + 1).collect()]
-    return days if len(days) <= MOST_DAYS else None
+def _touched_days(batch: DataFrame) -> list:
+    """Days of a stored batch: a list as long as the calendar span of its readings at most."""
+    return [row.day for row in batch.select("day").distinct().collect()]
 
 
-def _stored(batch: DataFrame, path: str, days: list | None) -> DataFrame | None:
+def _stored(batch: DataFrame, path: str, days: list) -> DataFrame | None:
     """Rows stored for these days, read through a partition filter; None without a path."""
     try:
         found = batch.sparkSession.read.schema(batch.schema).parquet(path)
@@ -77,7 +75,7 @@ def _stored(batch: DataFrame, path: str, days: list | None) -> DataFrame | None:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return None
-    return found if days is None else found.filter(F.col("day").isin(days))
+    return found.filter(F.col("day").isin(days))
 
 
 def _with_day(batch: DataFrame) -> DataFrame:
@@ -95,13 +93,13 @@ def _replace_days(rows: DataFrame, path: str) -> None:
     )
 
 
-def upsert_latest(batch: DataFrame, path: str) -> list | None:
+def upsert_latest(batch: DataFrame, path: str) -> list:
     """Merge one batch of valid rows into a silver path partitioned by ``day``.
 
     Only the days the batch touches are read, deduplicated together with the new rows
     and replaced. Applying the same batch twice changes nothing, so a retried batch is
     safe. The merged rows are stored in the shared folder before any day is replaced.
-    Returns the days, or None if there are more than ``MOST_DAYS``.
+    Returns the days.
     """
     fresh = _with_day(batch)
     days = _touched_days(fresh)
@@ -126,11 +124,9 @@ def append_first(batch: DataFrame, path: str) -> None:
     _replace_days(materialize(merged, "append"), path)
 
 
-def refresh_hours(spark: SparkSession, silver: str, path: str, days: list | None) -> None:
+def refresh_hours(spark: SparkSession, silver: str, path: str, days: list) -> None:
     """Roll up the given days of a stored silver path again and replace them."""
-    rows = spark.read.parquet(silver)
-    if days is not None:
-        rows = rows.filter(F.col("day").isin(days))
+    rows = spark.read.parquet(silver).filter(F.col("day").isin(days))
     hours = int_sensor_metrics(stg_iot_data(gold_fact(rows.drop("day"))))
     _replace_days(hours.withColumn("day", F.col("reading_date")), path)
 
