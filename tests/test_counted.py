@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from verdigris.operators.silver import silver_dedup
-from verdigris.plans.batch import Lake, refresh_gold, refresh_silver, run_all_layers
+from verdigris.plans.batch import Lake, refresh_gold, refresh_silver
 from verdigris.sources.counted import (
     count_while_writing,
     publish_verified,

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from verdigris.operators.features import ORDER, sensor_features
 from verdigris.operators.joins import join_predictions
 from verdigris.operators.metrics import (
     classification_metrics,
