@@ -55,3 +55,44 @@ def test_empty(spark):
     assert mtree.top_products(frame, F.col("vec_id") % 50 == 0, 5).count() == 0
     alone = spark.createDataFrame([(0, [1.0])], "vec_id long, embedding array<float>")
     assert mtree.top_products(alone, F.col("vec_id") % 50 == 0, 5).count() == 0
+
+
+def test_large_components_and_many_lengths_equal_brute_force(spark, monkeypatch):
+    """Scores far beyond 2^53, differing in the last digits, and more lengths than fit a group."""
+    monkeypatch.setattr(mtree, "SHARD_ROWS", 60)
+    monkeypatch.setattr(mtree, "PAGE", 8)
+    monkeypatch.setattr(mtree, "QUERY_BLOCK", 5)
+    monkeypatch.setattr(mtree, "LENGTHS", 4)
+    rng = random.Random(11)
+    base = [rng.uniform(1e5, 1e6) for _ in range(5)]
+    rows = [(i, [x + rng.randrange(3) / 256 for x in base]) for i in range(200)]
+    rows += [(i, [rng.uniform(-1e6, 1e6) for _ in range(5)]) for i in range(200, 300)]
+    rows += [(i, [rng.uniform(-1, 1) for _ in range(1 + i % 70)]) for i in range(300, 480)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = sorted(map(tuple, mtree.top_products(frame, F.col("vec_id") % 10 == 0, 5).collect()))
+    assert found == brute(rows, lambda i: i % 10 == 0, 5)
+    assert max(score for *_, score in found) > 1 << 53
+
+
+def test_scores_beyond_64_bits_rank_exactly(spark):
+    rows = [(0, [1e9, 1e9, 1.0])] + [(i, [1e9, 1e9, float(i % 7)]) for i in range(1, 60)] + [(60, [1e300, 0.0, 0.0]), (61, [-1e300, 0.0, 0.0])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = sorted(map(tuple, mtree.top_products(frame, F.col("vec_id") % 50 == 0, 61).collect()))
+    limit = 1 << 63
+    want = [(q, r, v, min(max(s, -limit), limit - 1)) for q, r, v, s in brute(rows, lambda i: i % 50 == 0, 61)]
+    assert found == want
+
+
+def test_places_sort_like_integers():
+    values = [0, 1, -1, 255, 256, -255, -256, -257, 1 << 70, -(1 << 70), (1 << 70) + 1, 1 - (1 << 70), 1 << 2000, -(1 << 2000)]
+    assert sorted(values) == sorted(values, key=mtree._place)
+
+
+def test_no_query_passes_the_driver(spark, monkeypatch):
+    """One grouped search, whatever the number of query blocks."""
+    monkeypatch.setattr(mtree, "QUERY_BLOCK", 3)
+    frame = spark.createDataFrame([(i, [float(i % 13), float(i % 7)]) for i in range(400)], "vec_id long, embedding array<double>")
+    found = mtree.top_products(frame, F.col("vec_id") % 4 == 0, 2)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FlatMapCoGroupsInPandas") == 1 and plan.count("FlatMapGroupsInPandas") == 0
+    assert found.count() == 200
