@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import SMALL, plan_of
+from tests.llm.conftest import DOC_SCHEMA
 from verdigris.llm import mixing as m, sharding as sh
 from verdigris.llm.queries import QUERIES
 
@@ -117,3 +118,20 @@ def test_sharding_of_odd_rows(spark, clashing_docs, no_docs):
 
 def test_native_operators_run_no_python(spark, odd_docs):
     assert "Python" not in plan_of(m.mix(odd_docs)) + plan_of(sh.shard_documents(odd_docs, 8))
+
+
+def test_equal_rows_spread_over_the_buckets_of_their_source(spark):
+    """A third of all rows are copies of one; copies and layouts do not change what is taken."""
+    rows = [(i, f"{'word ' * (1 + i % 5)}{i}", "en", "s1", 1) for i in range(4_000)] + [(-1, "same words", "en", "s1", 1)] * 2_000
+    docs = spark.createDataFrame(rows, DOC_SCHEMA)
+
+    def taken(layout):
+        plan = m.plan_mix(layout)
+        return sorted(map(tuple, plan.groupBy("doc_id").agg(F.sum("copies")).collect()))
+
+    lots = m.apart(m.measure(docs.repartition(7)))
+    assert lots.select("lot").distinct().count() == len(rows)
+    buckets = -(-len(rows) // m.BLOCK)
+    sizes = [r["count"] for r in lots.groupBy(F.pmod("lot", F.lit(buckets))).count().collect()]
+    assert max(sizes) < 1.4 * m.BLOCK
+    assert taken(docs.repartition(7)) == taken(docs.repartition(3))

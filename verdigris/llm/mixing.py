@@ -11,7 +11,8 @@ and one residual; the residuals of a level form the blocks of the next, a reduct
 of logarithmic height. Random numbers are hashes of the rows, so reruns agree.
 
 Only DataFrame functions run here. Blocks are cut inside hashed buckets of a source, so a
-source with a third of all rows is as many blocks as it needs.
+source with a third of all rows is as many blocks as it needs. Equal rows are numbered, and
+the number is part of the hash: copies of one row spread over all buckets of their source.
 
 Defined cases: a null text has size 0; a document of size 0 takes the whole part of its
 copies; a null source is a source of its own, last in order; equal rows are rounded on
@@ -115,14 +116,33 @@ def _reduce_blocks(open_rows: DataFrame, counts: DataFrame, level: int, block: i
     )
 
 
+def apart(sized: DataFrame) -> DataFrame:
+    """``sized`` with ``lot``: the row's hash, in which the copies of a row differ by their number.
+
+    Rows are counted within the partition that stored them (the upper bits of ``row``), so no
+    group is larger than a partition, and each partition's count starts where earlier ones end.
+    The numbers of equal rows are always 0, 1, 2 and so on, whatever the partitions are.
+    """
+    stored = sized.withColumn("part", F.shiftright("row", 33))
+    runs = stored.groupBy("hash", "part").agg(F.count(F.lit(1)).alias("n"))
+    earlier = Window.partitionBy("hash").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    # One row for each partition that holds a copy; a row's first partition needs no entry.
+    starts = runs.select("hash", "part", F.sum("n").over(earlier).alias("start")).filter("start is not null")
+    within = Window.partitionBy("hash", "part").orderBy("row")
+    counted = stored.withColumn("number", F.row_number().over(within) - 1).join(starts, ["hash", "part"], "left")
+    number = F.col("number") + F.coalesce("start", F.lit(0))
+    lot = F.when(number > 0, F.xxhash64("hash", number)).otherwise(F.col("hash"))
+    return counted.select(*sized.columns, lot.alias("lot"))
+
+
 def round_copies(sized: DataFrame, targets: DataFrame, block: int = BLOCK, seed: int = SEED) -> DataFrame:
     """``sized`` (row, source, size, hash) with source_size, target and copies."""
     of_source = targets.withColumnRenamed("source", "of")
-    rated = sized.join(of_source, sized["source"].eqNullSafe(of_source["of"])).drop("of")
+    rated = apart(sized).join(of_source, F.col("source").eqNullSafe(F.col("of"))).drop("of")
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     rated = rated.withColumn("whole", F.floor(ratio)).withColumn("x", ratio - F.floor(ratio))
     rated = materialize(rated, "rated")
-    remaining = rated.filter("size > 0 and x > 0").select("row", "source", "hash", F.col("size").cast("double").alias("size"), "x")
+    remaining = rated.filter("size > 0 and x > 0").select("row", "source", F.col("lot").alias("hash"), F.col("size").cast("double").alias("size"), "x")
     level, decided = 0, None
     while True:
         counts = remaining.groupBy(F.col("source").alias("of")).agg(F.count(F.lit(1)).alias("rows"))
@@ -139,7 +159,7 @@ def round_copies(sized: DataFrame, targets: DataFrame, block: int = BLOCK, seed:
     last = remaining.select("row", (uniform(F.lit(seed), F.lit(-1), F.col("hash")) < F.col("x")).alias("hit"))
     decided = last if decided is None else decided.union(last)
     decided = materialize(decided, "decided")
-    return rated.join(decided, "row", "left").withColumn(
+    return rated.drop("lot").join(decided, "row", "left").withColumn(
         "copies", F.col("whole") + F.coalesce(F.col("hit").cast("long"), F.lit(0))
     )
 
