@@ -25,6 +25,7 @@ from verdigris.operators.mlprep import (
     prepare_tabular,
     standard_stats,
 )
+from verdigris.operators.moments import rows_with_moments, window_moments
 from verdigris.operators.sequences import inference_windows, sequence_windows, window_weight
 
 
@@ -226,8 +227,8 @@ def train_forecaster(
 ) -> tuple[SequenceModel, DataFrame]:
     """Direct autoregression on flattened windows; the first ``share`` of the samples train.
 
-    Rows are scaled before the windows are built: each row is scaled once instead of
-    once per window. Returns the model and the scored test samples (``actual``,
+    The fit needs the mean and covariance of the windows only, which come from lagged products
+    of the scaled rows: no training window is built. Returns the model and the scored test samples (``actual``,
     ``predicted`` in original units). ``numbered`` must have no gaps.
     """
     inputs = [n for n in columns if n != params.target]
@@ -251,8 +252,11 @@ def train_forecaster(
         scaled[n] = (F.col(n).cast("double") - F.lit(stats[f"mean_{n}"])) / F.lit(std)
     y_std = stats["std_y"] or 1.0
     scaled[params.target] = (F.col(params.target) - F.lit(stats["mean_y"])) / F.lit(y_std)
+    scaled_rows = numbered.withColumns(scaled)
+    moments = window_moments(scaled_rows, inputs, params.target, params.length, train_windows)
+    alike = rows_with_moments(numbered.sparkSession, *moments)
     windows = sequence_windows(
-        numbered.withColumns(scaled), [*inputs, params.target], params.length, params.target
+        scaled_rows.filter(position >= train_windows), [*inputs, params.target], params.length, params.target
     ).select("sample", _window_vector(F.col("x")).alias("features"), "y")
     learner = LinearRegression(
         featuresCol="features",
@@ -261,10 +265,10 @@ def train_forecaster(
         elasticNetParam=params.mix,
         standardization=False,
     )
-    fitted = learner.fit(windows.filter(F.col("sample") < train_windows))
+    fitted = learner.fit(alike.select(array_to_vector("x").alias("features"), "y"))
     model = SequenceModel(fitted, inputs, params.length, params.target, stats)
     mean, std = F.lit(stats["mean_y"]), F.lit(stats["std_y"])
-    tested = fitted.transform(windows.filter(F.col("sample") >= train_windows)).select(
+    tested = fitted.transform(windows).select(
         "sample",
         inverse_standard(F.col("y"), mean, std).alias("actual"),
         inverse_standard(F.col("prediction"), mean, std).alias("predicted"),

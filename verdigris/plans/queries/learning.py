@@ -38,6 +38,7 @@ from verdigris.operators.models import (
     train_forecaster,
     train_trees,
 )
+from verdigris.operators.moments import window_moments
 from verdigris.operators.ordering import in_chunks
 from verdigris.operators.sequences import inference_windows, window_weight
 from verdigris.plans.batch import Lake, feature_series, refresh_features, score_features, train_models
@@ -508,6 +509,44 @@ def _(t: Tables):
     return rounded(found)
 
 
+_MOMENT_PAIR = ("air_temperature", "ph_level")
+
+
+def _filled_sql(name: str) -> str:
+    return f"""coalesce(last_value({name} ignore nulls) over (order by position rows between unbounded preceding and current row),
+        first_value({name} ignore nulls) over (order by position rows between current row and unbounded following), 0) as {name}"""
+
+
+@query(
+    "window_moments",
+    using(
+        "numbered",
+        f"""select step, {round6('avg(x)')} as mean_x, {round6('avg(y)')} as mean_y, {round6('covar_pop(y, x)')} as covariance,
+            {round6('regr_slope(y, x)')} as slope, {round6('regr_intercept(y, x)')} as intercept
+            from (select cast(step as integer) as step, x.air_temperature as x, y.ph_level as y
+                from (select position, {_filled_sql('air_temperature')} from numbered) x
+                join range(24) steps(step) on true
+                join (select position, {_filled_sql('ph_level')} from numbered) y on y.position = x.position - step + 24
+                where x.position >= step
+                    and x.position - step < (select cast(floor((count(*) - 24) * 0.8e0) as bigint) from numbered))
+            group by step""",
+    ),
+)
+def _(t: Tables):
+    """For each step of the training windows: the one-variable fit of the next pH by that step, from window moments."""
+    series, _, total = _series(t)
+    x, y = _MOMENT_PAIR
+    windows = int((total - 24) * 0.8)
+    mean, covariance = window_moments(series, [x], y, 24, windows)
+    rows = []
+    for step in range(24):
+        slope = covariance[step, -1] / covariance[step, step]
+        fit = (mean[step], mean[-1], covariance[step, -1], slope, mean[-1] - slope * mean[step])
+        rows.append((step, *map(float, fit)))
+    schema = "step int, mean_x double, mean_y double, covariance double, slope double, intercept double"
+    return rounded(t.spark.createDataFrame(rows, schema))
+
+
 @query(
     "score_batch",
     using(
