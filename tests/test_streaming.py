@@ -108,3 +108,20 @@ def test_ids_beyond_32_bits_are_kept(spark, fresh):
     path = fresh("silver")
     upsert_latest(silver_validate(silver_project(rows)), path)
     assert [r.id for r in spark.read.parquet(path).collect()] == [int(big)]
+
+
+def test_micro_batches_do_not_grow_with_the_landing(spark, fresh, monkeypatch):
+    from types import SimpleNamespace
+
+    from verdigris.plans.queries import streams
+    from verdigris.sources.versions import DayTable
+    from verdigris.streaming.merge import latest_rows, latest_stream
+
+    monkeypatch.setattr(streams, "REQUEST_READINGS", 2)
+    monkeypatch.setattr(streams, "FILE_REQUESTS", 1)
+    rows = bronze(spark, *[dict(id=str(i)) for i in range(60)])
+    path = fresh("silver")
+    streams._run_landings(SimpleNamespace(spark=spark, bronze=rows), "t", lambda s, state: latest_stream(s, path, state))
+    table = DayTable(spark, path)
+    # Thirty files and more: by twos this took fifteen batches.
+    assert latest_rows(table).count() == 60 and len(table.head().parts) <= 4

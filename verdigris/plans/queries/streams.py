@@ -12,10 +12,10 @@ from verdigris.session import scratch_path
 from verdigris.sources.routing import replay_pack, write_requests
 from verdigris.sources.versions import DayTable
 from verdigris.streaming.event_time import event_time_stream, never_kept, run_counted
-from verdigris.streaming.jobs import first_copy_stream, read_landed, run_available, to_parquet
+from verdigris.streaming.jobs import files_per_batch, first_copy_stream, read_landed, run_available, to_parquet
 from verdigris.streaming.merge import hourly_metrics, hourly_state_stream, latest_rows, latest_stream
 
-# Requests of 500 readings, four to a file of JSON lines, two files to a micro-batch.
+# Requests of 500 readings, four to a file of JSON lines, two files or more to a micro-batch.
 REQUEST_READINGS, FILE_REQUESTS, BATCH_FILES = 500, 4, 2
 _RAW_SQL = ", ".join(f'"{n}"' for n in RAW_COLUMNS)
 _SILVER = (
@@ -30,6 +30,10 @@ def _land(rows: DataFrame, path: str) -> str:
     return write_requests(packed, path, per_file=FILE_REQUESTS, mode="append")
 
 
+def _dealt(t: Tables, landed: str) -> DataFrame:
+    return read_landed(t.spark, landed, files_per_batch=files_per_batch(t.spark, landed, BATCH_FILES))
+
+
 def _run_landings(t: Tables, name: str, start) -> None:
     """Run a stream over the readings, then restart it over those sent again later."""
     landed = scratch_path(t.spark, f"{name}-landed")
@@ -37,13 +41,13 @@ def _run_landings(t: Tables, name: str, start) -> None:
     late = F.col("source_file") == "late.parquet"
     for rows in (t.bronze.filter(~late), t.bronze.filter(late)):
         _land(rows, landed)
-        run_available(start(read_landed(t.spark, landed, files_per_batch=BATCH_FILES), state))
+        run_available(start(_dealt(t, landed), state))
 
 
 @query("stream_json_ingest", using("bronze", f"select {_RAW_SQL}, 'api_ingestion' as source_file from bronze"))
 def _(t: Tables):
     landed, path = scratch_path(t.spark, "landed"), scratch_path(t.spark, "ingest")
-    stream = read_landed(t.spark, _land(t.bronze, landed), files_per_batch=BATCH_FILES)
+    stream = _dealt(t, _land(t.bronze, landed))
     run_available(to_parquet(stream, path, scratch_path(t.spark, "ingest-state")))
     return t.spark.read.schema(stream.schema).parquet(path).drop("ingestion_timestamp")
 
