@@ -227,3 +227,26 @@ def test_any_python_model_can_score(spark, wave):
     rows = {r.position: r.p for r in scored.collect()}
     truth = {r.position: r.ph_level for r in wave.collect()}
     assert len(rows) == 588 and all(abs(rows[p] - truth[p - 1]) < 1e-5 for p in rows)
+
+
+def test_trees_are_fitted_on_partitions_of_bounded_size(spark, monkeypatch):
+    from verdigris.operators import models
+
+    seen = []
+
+    class Fitted(Exception):
+        pass
+
+    def fit(_, data):
+        seen.extend(r["count"] for r in data.groupBy(F.spark_partition_id()).count().collect())
+        raise Fitted
+
+    monkeypatch.setattr(models, "TREE_PARTITION_ROWS", 50, raising=False)
+    monkeypatch.setattr(models.GBTClassifier, "fit", fit)
+    rows = spark.range(1000).coalesce(1).selectExpr(
+        "id as reading_id", "timestamp'2024-01-01' as timestamp", "id / 7 as a", "cast(id % 2 as int) as label"
+    )
+    with pytest.raises(Fitted):
+        models.train_trees(rows, "label", columns=["a"])
+    # About 800 training rows; before, all of them were one task's.
+    assert sum(seen) > 700 and max(seen) <= 100

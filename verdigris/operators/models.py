@@ -52,6 +52,8 @@ class SequenceParams:
     mix: float = 0.0
 
 
+TREE_PARTITION_ROWS = 100_000
+
 _SPEC = "kind string, features array<string>, classifies boolean, length int, target string, stats map<string, double>"
 _FITTED = {m.__name__: m for m in (GBTClassificationModel, GBTRegressionModel, LinearRegressionModel)}
 
@@ -73,6 +75,16 @@ class TabularModel:
         return scored.select(*df.columns, value.alias(output))
 
 
+def _spread(training: DataFrame) -> DataFrame:
+    """Many rows in partitions of ``TREE_PARTITION_ROWS``: each pass over the cached rows reads a partition
+    whole in one task, and stored files only follow the compressed size of the rows."""
+    rows = training.count()
+    if rows <= TREE_PARTITION_ROWS:
+        return training
+    parallel = training.sparkSession.sparkContext.defaultParallelism
+    return training.repartition(max(-(-rows // TREE_PARTITION_ROWS), parallel))
+
+
 def train_trees(
     features: DataFrame,
     target: str = LABEL,
@@ -116,7 +128,7 @@ def train_trees(
     )
     learner = GBTClassifier(**shared) if classify else GBTRegressor(**shared)
     training = assembled.select("features", F.col(target).cast("double").alias(target), "weight", "is_validation")
-    return TabularModel(learner.fit(training), columns, classify), prepared
+    return TabularModel(learner.fit(_spread(training)), columns, classify), prepared
 
 
 def boosting_log(model: TabularModel, rows: DataFrame, target: str, run: str) -> DataFrame:
