@@ -67,3 +67,20 @@ def test_constant_columns_stay_constant(spark):
     flat[:, 2] = 0.1
     rows = rows_with_moments(spark, flat.mean(axis=0), np.cov(flat.T, bias=True)).collect()
     assert len({r.x[2] for r in rows}) == 1 and len({r.x[0] for r in rows}) > 1
+
+
+def test_numbered_rows_are_filled_without_a_second_sort(spark, monkeypatch):
+    from verdigris.operators import sequences
+    from verdigris.plans.batch import feature_series
+    from verdigris.plans.registry import Tables
+
+    schema = "position long, a double, b double, never double"
+    rows = [(i, None if i < 9 or i % 5 else float(i), None if i in (0, 7, 8, 19) else -float(i), None) for i in range(20)]
+    df = spark.createDataFrame(rows, schema)
+    want = sequences.fill_gaps(df, ["a", "b", "never"], ["position"]).orderBy("position").collect()
+    monkeypatch.setattr(sequences, "store_sorted", lambda *_: pytest.fail("sorted again"))
+    series, _ = feature_series(Tables(spark, "/root/testdata/sf0.001").fact.limit(50))
+    assert series.filter("ph_level is null").count() == 0
+    for size in (1, 3, 100):
+        found = sequences.fill_gaps(df, ["a", "b", "never"], ["position"], numbered="position", range_rows=size)
+        assert found.orderBy("position").collect() == want

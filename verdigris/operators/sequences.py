@@ -14,6 +14,9 @@ from verdigris.operators.ordering import (
     in_chunks,
     store_sorted,
 )
+from verdigris.session import materialize
+
+RANGE_ROWS = 32_768
 
 
 def sequence_windows(
@@ -102,15 +105,22 @@ def fill_gaps(
     order_by: Sequence[str],
     default: float = 0,
     position: str | None = None,
+    numbered: str | None = None,
+    range_rows: int = RANGE_ROWS,
 ) -> DataFrame:
     """Last value before, else next value after, else ``default``.
 
     Fills may reach arbitrarily far, so no halo suffices. Each sorted range is filled on
     its own; the last and first value of every range (one row per range) are carried
     over to its neighbours. A backward fill is a running fill in descending order.
-    ``position`` adds the dense row number, which the same sort provides.
+    ``position`` adds the dense row number, which the same sort provides. Rows that carry
+    theirs already (``numbered``) need no sort: a range is ``range_rows`` positions.
     """
-    stored = store_sorted(df, order_by)
+    if numbered:
+        place = F.col(numbered)
+        stored = materialize(df, "numbered").withColumns({SLOT: place, RANGE: F.floor(place / range_rows)})
+    else:
+        stored = store_sorted(df, order_by)
 
     def edge(pick, name: str) -> Column:
         return pick(name, F.when(F.col(name).isNotNull(), F.col(SLOT)))
@@ -148,9 +158,9 @@ def fill_gaps(
         *[F.last(name, True).over(forward).alias(f"_ffill_{name}") for name in columns],
         *[F.last(name, True).over(backward).alias(f"_bfill_{name}") for name in columns],
     ).join(F.broadcast(carried), RANGE)
-    numbered = [dense_position().alias(position)] if position else []
+    added = [dense_position().alias(position)] if position else []
     return result.select(
-        *[filled(name) if name in columns else F.col(name) for name in df.columns], *numbered
+        *[filled(name) if name in columns else F.col(name) for name in df.columns], *added
     )
 
 

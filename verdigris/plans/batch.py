@@ -169,7 +169,7 @@ def feature_series(fact: DataFrame) -> tuple[DataFrame, list[str]]:
     """Labelled feature rows with ``position`` and no gaps, and all numeric forecast inputs."""
     features = env_label(sensor_features(fact, position="position"))
     inputs = [name for name in feature_names(features, target="ph_level") if name != LABEL]
-    return fill_gaps(features, ["ph_level", *inputs], ["position"]), inputs
+    return fill_gaps(features, ["ph_level", *inputs], ["position"], numbered="position"), inputs
 
 
 def refresh_features(fact: DataFrame, lake: Lake) -> DataFrame:
