@@ -40,7 +40,7 @@ from verdigris.operators.models import (
 )
 from verdigris.operators.moments import window_moments
 from verdigris.operators.ordering import in_chunks
-from verdigris.operators.sequences import inference_windows, window_weight
+from verdigris.operators.sequences import fill_gaps, inference_windows, window_weight
 from verdigris.plans.batch import Lake, feature_series, refresh_features, score_features, train_models
 from verdigris.plans.oracle import replace_rounded, round6, round_sql, using
 from verdigris.plans.registry import Tables, query, rounded
@@ -534,8 +534,10 @@ def _filled_sql(name: str) -> str:
 )
 def _(t: Tables):
     """For each step of the training windows: the one-variable fit of the next pH by that step, from window moments."""
-    series, _, total = _series(t)
     x, y = _MOMENT_PAIR
+    rows = t.numbered(x, y)
+    series = materialize(fill_gaps(rows, [x, y], ["position"], numbered="position"), "series")
+    total = series.count()
     windows = int((total - 24) * 0.8)
     mean, covariance = window_moments(series, [x], y, 24, windows)
     rows = []
