@@ -63,6 +63,23 @@ def test_streams_equal_batch_for_any_batch_size(tables, spark, fresh, files):
     assert rounded(found) == rounded(batch_hours(build_silver(rows)))
 
 
+def test_a_batch_is_stored_and_aggregated_once(spark, fresh, monkeypatch):
+    landed, silver, hours, state = (fresh(n) for n in ("landed", "silver", "hours", "state"))
+    copies, aggregated, partials = [], [], m._partials
+    monkeypatch.setattr(m, "materialize", lambda df, label: copies.append(label) or df)
+    monkeypatch.setattr(m, "_partials", lambda df: aggregated.append(1) or partials(df))
+    at = lambda i, h, **k: dict(id=str(i), timestamp=f"2023-11-26 {h:02d}:00:00", **k)
+    landings = [[at(1, 8, pH="5"), at(2, 9, pH="5")], [at(1, 8, pH="7"), at(3, 8, pH="6"), at(4, 9, pH="6")]]
+    for n, rows in enumerate(landings):
+        packed = replay_pack(bronze(spark, *rows, at=datetime(2024, 2, 1 + n)), ["id"], batch_size=1)
+        packed.select("body").coalesce(1).write.mode("append").text(landed)
+        run_available(m.hourly_state_stream(read_landed(spark, landed), silver, hours, state))
+    # Before: each batch was written once more beside silver, and its hours were aggregated twice.
+    assert copies == [] and len(aggregated) == len(landings)
+    found = {r.reading_hour: (r.reading_count, r.avg_ph) for r in m.hourly_metrics(DayTable(spark, hours)).collect()}
+    assert found == {8: (2, 6.5), 9: (2, 5.5)}
+
+
 def test_a_batch_adds_its_own_rows_only_and_once(spark, fresh):
     table = DayTable(spark, fresh())
     first = valid(spark, *[dict(id=str(i), timestamp=f"2023-11-2{i % 5} 10:00:00") for i in range(20)])

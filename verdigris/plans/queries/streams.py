@@ -12,11 +12,20 @@ from verdigris.session import scratch_path
 from verdigris.sources.routing import replay_pack, write_requests
 from verdigris.sources.versions import DayTable
 from verdigris.streaming.event_time import event_time_stream, never_kept, run_counted
-from verdigris.streaming.jobs import files_per_batch, first_copy_stream, read_landed, run_available, to_parquet
+from verdigris.streaming.jobs import (
+    MOST_BATCHES,
+    files_per_batch,
+    first_copy_stream,
+    read_landed,
+    run_available,
+    to_parquet,
+)
 from verdigris.streaming.merge import hourly_metrics, hourly_state_stream, latest_rows, latest_stream
 
 # Requests of 500 readings, four to a file of JSON lines, two files or more to a micro-batch.
 REQUEST_READINGS, FILE_REQUESTS, BATCH_FILES = 500, 4, 2
+# A batch of the hourly job stores readings and hours, at a multiple of the other jobs' cost before its first row.
+HOURLY_BATCHES = 2
 _RAW_SQL = ", ".join(f'"{n}"' for n in RAW_COLUMNS)
 _SILVER = (
     "id timestamp pH TDS water_level DHT_temp DHT_humidity water_temp pH_reducer add_water nutrients_adder "
@@ -30,18 +39,19 @@ def _land(rows: DataFrame, path: str) -> str:
     return write_requests(packed, path, per_file=FILE_REQUESTS, mode="append")
 
 
-def _dealt(t: Tables, landed: str) -> DataFrame:
-    return read_landed(t.spark, landed, files_per_batch=files_per_batch(t.spark, landed, BATCH_FILES))
+def _dealt(t: Tables, landed: str, most_batches: int = MOST_BATCHES) -> DataFrame:
+    files = files_per_batch(t.spark, landed, BATCH_FILES, most_batches)
+    return read_landed(t.spark, landed, files_per_batch=files)
 
 
-def _run_landings(t: Tables, name: str, start) -> None:
+def _run_landings(t: Tables, name: str, start, most_batches: int = MOST_BATCHES) -> None:
     """Run a stream over the readings, then restart it over those sent again later."""
     landed = scratch_path(t.spark, f"{name}-landed")
     state = scratch_path(t.spark, f"{name}-state")
     late = F.col("source_file") == "late.parquet"
     for rows in (t.bronze.filter(~late), t.bronze.filter(late)):
         _land(rows, landed)
-        run_available(start(_dealt(t, landed), state))
+        run_available(start(_dealt(t, landed, most_batches), state))
 
 
 @query("stream_json_ingest", using("bronze", f"select {_RAW_SQL}, 'api_ingestion' as source_file from bronze"))
@@ -71,7 +81,7 @@ def _(t: Tables):
 def _(t: Tables):
     """The full batch roll-up, kept as partial aggregates of each hour."""
     path, silver = scratch_path(t.spark, "hours"), scratch_path(t.spark, "hours-silver")
-    _run_landings(t, "hours", lambda stream, state: hourly_state_stream(stream, silver, path, state))
+    _run_landings(t, "hours", lambda stream, state: hourly_state_stream(stream, silver, path, state), HOURLY_BATCHES)
     return rounded(hourly_metrics(DayTable(t.spark, path)))
 
 

@@ -30,6 +30,8 @@ from verdigris.streaming.jobs import clean
 KEY = ["id", "timestamp"]
 HOUR = ["reading_date", "reading_hour"]
 MOST_RANGES = 200
+_HOUR_OF_ROW = "unix_date(to_date(timestamp)) * 24 + hour(timestamp)"
+_HOUR_OF_STATE = "unix_date(reading_date) * 24 + reading_hour"
 
 
 def merge_latest(rows: DataFrame, table: DayTable, batch: int | None = None) -> Version:
@@ -68,11 +70,15 @@ def time_ranges(hours: Sequence[datetime], most: int = MOST_RANGES) -> list[tupl
     return [(ranges[i][0], ranges[min(i + width, len(ranges)) - 1][1]) for i in range(0, len(ranges), width)]
 
 
+def _micros(time: datetime) -> str:
+    """A collected timestamp as the literal it came from."""
+    return f"timestamp_micros({round(time.timestamp() * 1e6)})"
+
+
 def _in_ranges(ranges: Sequence[tuple[datetime, datetime]]) -> Column:
-    found = F.lit(False)
-    for start, end in ranges:
-        found = found | ((F.col("timestamp") >= F.lit(start)) & (F.col("timestamp") < F.lit(end)))
-    return found
+    """One text to parse: hundreds of columns joined by calls take a second or two to build."""
+    spans = [f"(timestamp >= {_micros(start)} and timestamp < {_micros(end)})" for start, end in ranges]
+    return F.expr(" or ".join(spans) or "false")
 
 
 def _partials(rows: DataFrame) -> DataFrame:
@@ -86,25 +92,46 @@ def stored_copies(silver: DayTable, before: Version, fresh: DataFrame) -> tuple[
     return silver.read(before, days, _in_ranges(time_ranges(hours))), days
 
 
+def _revised(old: DataFrame, fresh: DataFrame) -> list[int]:
+    """Hours in which a reading of ``fresh`` replaces a stored copy, as whole hours since 1970.
+
+    A part of the batch's hours, which ``stored_copies`` collects as well.
+    """
+    copies = old.join(fresh.select(*KEY), KEY, "left_semi")
+    return [r.hour for r in copies.select(F.expr(_HOUR_OF_ROW).alias("hour")).distinct().collect()]
+
+
+def _among(hour: str, found: Sequence[int]) -> Column:
+    return F.expr(f"{hour} in ({', '.join(map(str, found))})")
+
+
 def merge_hours(fresh: DataFrame, silver: DayTable, hours: DayTable, batch: int | None = None) -> Version:
     """Bring the partial aggregates of the hours of one batch up to date.
 
-    ``fresh`` holds the stored valid rows of the batch, which silver holds as well.
+    ``fresh`` holds the stored valid rows of the batch, which silver holds as well. All rows to
+    aggregate, those of revised hours and the batch's own, go through one aggregation, and what
+    a batch does not meet (stored rows, stored hours, revised hours) is not planned: building and
+    planning the steps takes longer than a batch's rows do.
     """
     head = hours.head()
     if head.applied(batch):
         return head
     before = silver.head().before(batch)
-    old, days = stored_copies(silver, before, fresh)
-    old = old.select(*fresh.columns)
-    hour = F.date_trunc("hour", "timestamp")
-    revised = old.join(fresh.select(*KEY), KEY, "left_semi").select(hour.alias("hour")).distinct()
-    revised = materialize(revised, "revised-hours")
-    both = old.union(fresh).withColumn("hour", hour)
-    again = _partials(silver_dedup(both.join(revised, "hour", "left_semi").select(*fresh.columns)))
-    added = _partials(fresh.withColumn("hour", hour).join(revised, "hour", "left_anti").drop("hour"))
-    state = current_hours(hours, head, days) if head.parts else added.limit(0)
-    rows = again.union(merge_partials(added, state.select(*added.columns), HOUR).select(*again.columns))
+    if not before.parts and not head.parts:
+        rows = _partials(fresh)
+    else:
+        old, days = stored_copies(silver, before, fresh)
+        old = old.select(*fresh.columns)
+        revised = _revised(old, fresh)
+        if revised:
+            again = silver_dedup(old.union(fresh).filter(_among(_HOUR_OF_ROW, revised)))
+            fresh = fresh.filter(~_among(_HOUR_OF_ROW, revised)).union(again)
+        rows = _partials(fresh)
+        if head.parts:
+            state = current_hours(hours, head, days)
+            if revised:  # aggregated as a whole
+                state = state.filter(~_among(_HOUR_OF_STATE, revised))
+            rows = merge_partials(rows, state.select(*rows.columns), HOUR).select(*rows.columns)
     # The number tells which state of an hour is the newest.
     rows = rows.withColumns({"version": F.lit(head.number + 1), DAY: F.col("reading_date")})
     return hours.append(rows, batch)
@@ -130,10 +157,14 @@ def hourly_state_stream(bronze: DataFrame, silver: str, path: str, checkpoint: s
     """Keep versioned silver and the hourly partial aggregates."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        fresh = materialize(clean(batch), "batch")
-        merge_latest(fresh, DayTable(spark, silver), batch_id)
-        merge_hours(fresh, DayTable(spark, silver), DayTable(spark, path), batch_id)
+        table = DayTable(batch.sparkSession, silver)
+        rows = clean(batch)
+        if table.head().applied(batch_id):
+            fresh = materialize(rows, "batch")  # run again: the folder may have been compacted since
+        else:
+            own = merge_latest(rows, table, batch_id).only(batch_id)
+            fresh = table.read(own).select(*rows.columns)  # what was just stored, not a second copy
+        merge_hours(fresh, table, DayTable(batch.sparkSession, path), batch_id)
 
     return _started(bronze, checkpoint, apply)
 
