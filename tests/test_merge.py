@@ -18,7 +18,8 @@ from verdigris.operators.semantic import (
     merge_partials,
     stg_iot_data,
 )
-from verdigris.operators.silver import build_silver, silver_dedup, silver_project, silver_validate
+from verdigris.operators.silver import build_silver, silver_dedup, silver_project, silver_validate, validate_once
+from verdigris.session import materialize
 from verdigris.sources.routing import replay_pack, write_requests
 from verdigris.sources.versions import DayTable
 from verdigris.streaming import merge as m
@@ -212,5 +213,30 @@ def test_event_time_state_counts_what_it_drops(spark, fresh):
     assert sum(total) == every.count()
 
 
+def test_many_landed_files_are_listed_in_few_tasks(spark, fresh):
+    landed, path, state, counts = (fresh(n) for n in ("landed", "rows", "state", "counts"))
+    usual = spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism")
+    packed = replay_pack(bronze(spark, *[dict(id=str(i)) for i in range(40)]), ["id"], batch_size=1)
+    packed.select("body").coalesce(1).write.option("maxRecordsPerFile", 1).text(landed)
+    query = run_counted(spark, event_time_stream(read_landed(spark, landed), path, state), counts)
+    seen = spark.sparkContext.statusTracker()
+    stages = [s for j in seen.getJobIdsForGroup(str(query.runId)) for s in seen.getJobInfo(j).stageIds]
+    # Before: a task for each of the forty files.
+    assert stages and max(seen.getStageInfo(s).numTasks for s in stages) <= 4 * spark.sparkContext.defaultParallelism < 40
+    assert spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism") == usual
+    assert spark.read.parquet(path).count() == 40
+
+
+def test_each_field_is_parsed_once(spark):
+    odd = [dict(pH="99"), dict(pH=""), dict(pH='"6.1"'), dict(TDS="-1"), dict(TDS=None), dict(id=None), dict(timestamp="?")]
+    rows = bronze(spark, *[dict(id=str(i)) | more for i, more in enumerate(odd)], dict(id="7", DHT_temp="60"))
+    typed = silver_project(rows)
+    found, want = validate_once(typed), silver_validate(typed)
+    assert found.schema == want.schema and sorted(r.id for r in found.collect()) == [1, 2, 4]
+    assert found.exceptAll(want).count() == 0 and want.exceptAll(found).count() == 0
+    plan = plan_of(validate_once(silver_project(materialize(rows, "plain"))))
+    assert plan.count("try_cast(replace(pH") == 1, plan
+
+
 def test_clean_is_the_input_of_both(spark):
     assert clean(bronze(spark, dict(id="1"), dict(id="1"), dict(id="x"))).count() == 1

@@ -62,6 +62,17 @@ def silver_validate(typed: DataFrame) -> DataFrame:
     return typed.filter(is_valid())
 
 
+def validate_once(typed: DataFrame) -> DataFrame:
+    """``silver_validate(typed)`` with every text field parsed once, for streams as well.
+
+    A filter on parsed columns is pushed below the parsing and repeats it for each comparison;
+    it is not pushed below a generator, here one of a single row. Columns that are not needed
+    should be left out before, since the generator reads all of them.
+    """
+    row = F.array(F.struct(*typed.columns))
+    return silver_validate(typed.select(F.explode(row).alias("_row")).select("_row.*"))
+
+
 def silver_rejects(typed: DataFrame) -> DataFrame:
     """The rows ``silver_validate`` leaves out, with the reason."""
     return typed.withColumn("reason", reject_reason()).filter(F.col("reason").isNotNull())

@@ -15,7 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from verdigris.operators.silver import silver_project, silver_validate
+from verdigris.operators.silver import silver_project, validate_once
+from verdigris.streaming.jobs import listed_in_few_tasks
 
 KEY = ["id", "timestamp"]
 LATENESS = "1 hour"
@@ -24,7 +25,7 @@ COUNTS_SCHEMA = "batch long, kept long, repeated long, late long, watermark stri
 
 def first_in_time(bronze: DataFrame, lateness: str = LATENESS) -> DataFrame:
     """The first valid copy of each reading, within the bound on lateness."""
-    valid = silver_validate(silver_project(bronze))
+    valid = validate_once(silver_project(bronze))
     return valid.withWatermark("timestamp", lateness).dropDuplicatesWithinWatermark(KEY)
 
 
@@ -54,12 +55,13 @@ def _outcome(progress) -> tuple:
 
 def run_counted(spark: SparkSession, writer: DataStreamWriter, counts: str) -> StreamingQuery:
     """Process what has landed, then append the outcome of each micro-batch to ``counts``."""
-    query = writer.trigger(availableNow=True).start()
     found: dict[int, tuple] = {}
     ended = False
-    while not ended:  # only the last hundred reports are kept for a query
-        ended = query.awaitTermination(1)
-        found |= {row[0]: row for p in query.recentProgress if p["stateOperators"] for row in [_outcome(p)]}
+    with listed_in_few_tasks(spark):
+        query = writer.trigger(availableNow=True).start()
+        while not ended:  # only the last hundred reports are kept for a query
+            ended = query.awaitTermination(1)
+            found |= {row[0]: row for p in query.recentProgress if p["stateOperators"] for row in [_outcome(p)]}
     rows = spark.createDataFrame([found[batch] for batch in sorted(found)], COUNTS_SCHEMA)
     rows.coalesce(1).write.mode("append").parquet(counts)
     return query
