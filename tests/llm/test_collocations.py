@@ -114,3 +114,31 @@ def test_odd_rows(spark, odd_docs, clashing_docs, no_docs):
     for docs in (odd_docs, clashing_docs.selectExpr("*", "1 as k", "'x' as phrase")):
         assert rows_of(c.mine(c.count_phrases(docs, threshold=3))) == brute(rows, 3)
     assert c.mine(c.count_phrases(no_docs)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "settings", [{"tally_slots": 1}, {"tally_slots": 200}, {"tally_slots": 100_000}, {"block_words": 100, "shards": 3}]
+)
+def test_shared_slots_of_the_tally_change_nothing(spark, texts, settings):
+    frame = spark.createDataFrame(texts, "lang string, text string").repartition(3)
+    for threshold in (12, 300):
+        assert rows_of(c.mine(c.count_phrases(frame, threshold=threshold, **settings))) == brute(texts, threshold)
+
+
+def test_rare_pairs_of_frequent_words_are_not_kept(spark, monkeypatch):
+    """All pairs but two are rare, though 150 words are frequent."""
+    rng = random.Random(9)
+    rows = [("en", " ".join(f"w{rng.randrange(150)}" for _ in range(40))) for _ in range(300)]
+    rows += [("en", f"r{i} new york city") for i in range(60)]
+    sent = []
+
+    def spy(df, label, store=c.materialize):
+        stored = store(df, label)
+        sent.append((label, stored.count()))
+        return stored
+
+    monkeypatch.setattr(c, "materialize", spy)
+    frame = spark.createDataFrame(rows, "lang string, text string").repartition(4)
+    assert rows_of(c.mine(c.count_phrases(frame, threshold=40))) == brute(rows, 40)
+    # the row of no words, 150 + 3 + 60 words, 2 pairs, 1 triple
+    assert max(n for label, n in sent if label == "phrase-counts") <= 217

@@ -13,6 +13,12 @@ last scan in which one of its phrases was reached. This array is of fixed size.
 is true, and it is left out unless it reaches the threshold, in which case its subphrases have
 reached it too.
 
+Most pairs of frequent words are rare, and they grow faster than the corpus. So before the first scan, all pairs are
+tallied by a hash into ``TALLY_SLOTS`` slots (the filter of Park, Chen and Yu), which are sent sparsely, in slices, with
+three bytes for each slot that a block of text touches. A pair whose slot stays below the threshold is rare, and no scan
+spells it or sends it on. What a scan knows of the tally is one bit for each slot, at most 32 MB (packed while sent);
+here, too, a shared slot only costs counting. Words are not tallied: they are few beside the pairs.
+
 A task numbers the words of a block of at most about ``BLOCK_WORDS`` words, counts all active
 phrases of one length after another on arrays, and hands on one row for each distinct phrase.
 Rows of all tasks are summed before they are merged with the running counts, of which those of
@@ -27,11 +33,13 @@ so; repeated rows count each; an empty table has no phrases. Extra columns are n
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window, functions as F
 from xxhash import xxh64_intdigest
 
@@ -43,6 +51,9 @@ SHARE = 100  # percent of a phrase's occurrences that lie in one longer phrase
 TOP = 2_000
 SHARDS = 2
 SLOTS = 1 << 22
+TALLY_SLOTS = 1 << 28
+SLICE = 1 << 16  # slots of one row of a tally
+SLICE_TASKS = 64  # tasks that sum up the tallies; each holds its share of the slices
 BLOCK_WORDS = 2_000_000
 SENT_ROWS = 200_000  # rows of one record batch
 TEXT_WORDS = 50_000  # words of a stored text without rare pairs, at least
@@ -105,6 +116,29 @@ class Reached:
         return found
 
 
+class Frequent:
+    """One bit for each slot of the tally: whether its pairs occur ``threshold`` times together."""
+
+    def __init__(self, slots: int):
+        self.slots = slots
+        self.bits = np.zeros(-(-slots // SLICE) * SLICE // 8, np.uint8)
+
+    def note(self, number: int, bits: bytes) -> None:
+        start = number * SLICE // 8
+        self.bits[start : start + SLICE // 8] = np.frombuffer(bits, np.uint8)
+
+    def __getstate__(self) -> tuple[int, bytes]:
+        return self.slots, zlib.compress(self.bits, 1)
+
+    def __setstate__(self, state: tuple[int, bytes]) -> None:
+        self.slots = state[0]
+        self.bits = np.frombuffer(zlib.decompress(state[1]), np.uint8)
+
+    def has(self, codes: np.ndarray) -> np.ndarray:
+        slots = _slots(codes, self.slots)
+        return (self.bits[slots >> 3] >> (slots & 7).astype(np.uint8) & 1).astype(bool)
+
+
 class _Block:
     """Words of one language in a task."""
 
@@ -123,7 +157,17 @@ class _Block:
     def _flat(self) -> np.ndarray:
         return np.concatenate(self.parts).astype(np.int64)
 
-    def counts(self, reached: Reached, scan: int, shards: int, longest: int) -> Iterator[pa.RecordBatch]:
+    def tallied(self, slots: int) -> np.ndarray:
+        """The slots of the pairs, each as often as it occurs."""
+        flat = self._flat()
+        codes = _word_codes(list(self.numbers), self.lang)
+        first, second = flat[:-1], flat[1:]
+        pair = (first != 0) & (second != 0)
+        return _slots(_longer(codes[first[pair]], codes[second[pair]]), slots)
+
+    def counts(
+        self, reached: Reached, frequent: Frequent, scan: int, shards: int, longest: int
+    ) -> Iterator[pa.RecordBatch]:
         """(lang, phrase, k, fresh, until) of the phrases that may be active in this scan.
 
         ``until`` is the scan by which the phrase is complete, as far as is known.
@@ -143,6 +187,8 @@ class _Block:
         for k in range(2, longest + 1):
             known = last[at] != NEVER
             places = np.flatnonzero(known[:-1] & known[1:])
+            if k == 2:
+                places = places[frequent.has(_longer(codes[at[places]], word_codes[at[places + 1]]))]
             if not len(places):
                 return
             left, right = at[places], at[places + 1]
@@ -174,14 +220,14 @@ class _Block:
             ]
             yield pa.RecordBatch.from_arrays(columns, schema=_PART)
 
-    def without_rare_pairs(self, reached: Reached) -> Iterator[str]:
+    def without_rare_pairs(self, reached: Reached, frequent: Frequent) -> Iterator[str]:
         """What the texts hold in runs of three words or more whose pairs all may have been reached."""
         flat = self._flat()
         words = list(self.numbers)
         codes = _word_codes(words, self.lang)
         first, second = flat[:-1], flat[1:]
         pairs = np.concatenate((np.zeros(1, np.uint64), _longer(codes[first], codes[second])))
-        known = (reached.of(pairs)[1:] != NEVER) & (first != 0) & (second != 0)
+        known = (reached.of(pairs)[1:] != NEVER) & frequent.has(pairs[1:]) & (first != 0) & (second != 0)
         known = np.concatenate((known, [False]))
         runs = known & np.concatenate((known[1:], [False]))  # a run of three words begins here
         kept = runs.copy()
@@ -208,14 +254,71 @@ def in_shards(docs: DataFrame, lang: str, text: str, shards: int) -> DataFrame:
     )
 
 
-def _shorten(rows: DataFrame, reached: Reached, block_words: int) -> DataFrame:
+def _blocks(batches: Iterator[pa.RecordBatch], block_words: int) -> Iterator[list[_Block]]:
+    """The texts of a task in blocks, one for each language."""
+    blocks: dict[str, _Block] = {}
+    held = 0
+    for batch in batches:
+        for lang, text in zip(batch.column(0), batch.column(1)):
+            name = lang.as_py()
+            block = blocks.setdefault(name, _Block(name))
+            held -= block.size
+            block.add(text.as_py())
+            held += block.size
+            if held >= block_words:
+                yield list(blocks.values())
+                blocks, held = {}, 0
+    if blocks:
+        yield list(blocks.values())
+
+
+def _tally(rows: DataFrame, threshold: int, slots: int, block_words: int) -> Frequent:
+    """Which slots the pairs of the whole corpus fill up to the threshold."""
+    # One block's count matters up to the threshold only.
+    kind = np.min_scalar_type(threshold)
+
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for blocks in _blocks(batches, block_words):
+            found = np.concatenate([block.tallied(slots) for block in blocks])
+            found, counts = np.unique(found.astype(np.uint32), return_counts=True)
+            counts = np.minimum(counts, threshold).astype(kind)
+            numbers, starts = np.unique(found // SLICE, return_index=True)
+            places = (found % SLICE).astype(np.uint16)
+            ends = np.append(starts[1:], len(found))
+            columns = [
+                pa.array(numbers.astype(np.int32)),
+                pa.array([places[i:j].tobytes() for i, j in zip(starts, ends)], pa.binary()),
+                pa.array([counts[i:j].tobytes() for i, j in zip(starts, ends)], pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, ["slice", "places", "counts"])
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for number, places, counts in zip(*(column.to_pylist() for column in batch.columns)):
+                if number not in sums:
+                    sums[number] = np.zeros(SLICE, np.int64)
+                sums[number][np.frombuffer(places, np.uint16)] += np.frombuffer(counts, kind)
+        full = {number: held >= threshold for number, held in sums.items() if (held >= threshold).any()}
+        bits = [zlib.compress(np.packbits(held, bitorder="little"), 1) for held in full.values()]
+        yield pa.RecordBatch.from_arrays([pa.array(list(full), pa.int32()), pa.array(bits, pa.binary())], ["slice", "bits"])
+
+    tallies = rows.select("lang", "text").mapInArrow(tally, "slice int, places binary, counts binary")
+    sums = tallies.repartition(SLICE_TASKS, "slice").mapInArrow(total, "slice int, bits binary")
+    frequent = Frequent(slots)
+    for row in sums.collect():
+        frequent.note(row["slice"], zlib.decompress(row["bits"]))
+    return frequent
+
+
+def _shorten(rows: DataFrame, reached: Reached, frequent: Broadcast, block_words: int) -> DataFrame:
     """The shards without what no phrase of three words can lie in, once pairs are complete."""
     spark = rows.sparkSession
     shared = spark.sparkContext.broadcast(reached)
 
     def left(blocks: dict) -> Iterator[pa.RecordBatch]:
         for (lang, shard), block in blocks.items():
-            for text in block.without_rare_pairs(shared.value):
+            for text in block.without_rare_pairs(shared.value, frequent.value):
                 yield pa.RecordBatch.from_pydict(
                     {"lang": [lang], "text": [text], "shard": pa.array([shard], pa.int32())}
                 )
@@ -241,25 +344,15 @@ def _shorten(rows: DataFrame, reached: Reached, block_words: int) -> DataFrame:
     return spark.read.schema(short.schema).parquet(path)
 
 
-def _scan(shard: DataFrame, reached: Reached, scan: int, shards: int, longest: int, block_words: int) -> DataFrame:
+def _scan(
+    shard: DataFrame, reached: Reached, frequent: Broadcast, scan: int, shards: int, longest: int, block_words: int
+) -> DataFrame:
     shared = shard.sparkSession.sparkContext.broadcast(reached)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blocks: dict[str, _Block] = {}
-        held = 0
-        for batch in batches:
-            for lang, text in zip(batch.column(0), batch.column(1)):
-                name = lang.as_py()
-                block = blocks.setdefault(name, _Block(name))
-                held -= block.size
-                block.add(text.as_py())
-                held += block.size
-                if held >= block_words:
-                    for block in blocks.values():
-                        yield from block.counts(shared.value, scan, shards, longest)
-                    blocks, held = {}, 0
-        for block in blocks.values():
-            yield from block.counts(shared.value, scan, shards, longest)
+        for blocks in _blocks(batches, block_words):
+            for block in blocks:
+                yield from block.counts(shared.value, frequent.value, scan, shards, longest)
 
     return shard.select("lang", "text").mapInArrow(count, "lang string, phrase string, k int, fresh long, until int")
 
@@ -312,16 +405,18 @@ def count_phrases(
     shards: int = SHARDS,
     slots: int = SLOTS,
     block_words: int = BLOCK_WORDS,
+    tally_slots: int = TALLY_SLOTS,
 ) -> DataFrame:
     """(lang, phrase, k, f): phrases of up to ``longest`` words that occur ``threshold`` times.
 
     The row of no words (k 0) has the number of words of the language.
     """
     rows = in_shards(docs, lang, text, shards)
+    frequent = rows.sparkSession.sparkContext.broadcast(_tally(rows, threshold, tally_slots, block_words))
     reached, state, scan, news = Reached(slots), None, 0, -1
     while scan < shards or scan <= news + shards:
         shard = rows.filter(F.col("shard") == scan % shards)
-        fresh = _scan(shard, reached, scan, shards, longest, block_words)
+        fresh = _scan(shard, reached, frequent, scan, shards, longest, block_words)
         state = materialize(_merge(state, fresh, scan, shards, threshold), "phrase-counts")
         found = _new_slots(state, scan, longest, slots)
         if len(found):
@@ -329,7 +424,7 @@ def count_phrases(
             news = scan
         scan += 1
         if scan == 2 * shards and longest > 2:
-            rows = _shorten(rows, reached, block_words)
+            rows = _shorten(rows, reached, frequent, block_words)
     total = sum((F.coalesce(f"c{i}", F.lit(0).cast("long")) for i in range(shards)), F.lit(0).cast("long"))
     counted = state.filter("k = 0 or reached is not null").select("lang", "phrase", "k", total.alias("f"))
     return materialize(counted, "phrases")
