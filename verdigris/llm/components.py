@@ -6,7 +6,8 @@ itself, to the smallest of them. Both keep components and end in stars around ea
 component's smallest node, after a number of rounds logarithmic in practice.
 
 Minima are stored before they are joined, so that both sides of each join come straight
-from a shuffle and adaptive execution can split a node with very many edges.
+from a shuffle and adaptive execution can split a node with very many edges. The joins are
+sort-merge joins by hint: minima grow with the nodes, so they are never broadcast.
 """
 
 from __future__ import annotations
@@ -25,12 +26,12 @@ def _large_star(edges: DataFrame) -> DataFrame:
     below = edges.groupBy(F.col("a").alias("b")).agg(F.min("b").alias("least"))
     # Nodes without a smaller neighbour keep their edges.
     below = materialize(below, "large-star")
-    return edges.join(below, "b", "left").select("a", F.coalesce("least", "b").alias("b"))
+    return edges.join(below.hint("merge"), "b", "left").select("a", F.coalesce("least", "b").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     least = materialize(edges.groupBy("a").agg(F.min("b").alias("least")), "small-star")
-    moved = edges.join(least, "a").filter("b <> least").select(F.col("b").alias("a"), F.col("least").alias("b"))
+    moved = edges.join(least.hint("merge"), "a").filter("b <> least").select(F.col("b").alias("a"), F.col("least").alias("b"))
     return least.select("a", F.col("least").alias("b")).union(moved)
 
 
