@@ -1,4 +1,4 @@
-"""Joins of the near-duplicate search broadcast nothing that grows with the documents."""
+"""Joins of near-dedup and mixing broadcast nothing that grows with the documents."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ import pytest
 
 from tests.conftest import plan_of
 from tests.llm.conftest import sentence
-from verdigris.llm import components as c, simhash as s
+from verdigris.llm import components as c, mixing as m, simhash as s
 
 
 @pytest.fixture
@@ -38,3 +38,19 @@ def test_no_side_is_broadcast(spark, plans, search):
     # Large star, small star, both halves, members, the choice and the way back to the rows.
     assert len(joins) >= 6
     assert not [p for p in joins if "Broadcast" in p]
+
+
+def test_mixing_broadcasts_sources_only(spark, monkeypatch):
+    plans, store = {}, m.materialize
+
+    def record(df, label):
+        plans[label] = plan_of(df)
+        return store(df, label)
+
+    monkeypatch.setattr(m, "materialize", record)
+    docs = spark.createDataFrame([(i, f"text {i}", "ab"[i % 2]) for i in range(30)], "doc_id long, text string, source string")
+    plans["mixed"] = plan_of(m.mix(docs))
+    # The decided rows, the hashes taken, and the copies of a row in earlier partitions.
+    for label in ("taken", "mixed"):
+        assert "SortMergeJoin" in plans[label] and "Broadcast" not in plans[label]
+    assert "SortMergeJoin [hash" in plans["rated"]

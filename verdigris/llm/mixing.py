@@ -129,7 +129,7 @@ def apart(sized: DataFrame) -> DataFrame:
     # One row for each partition that holds a copy; a row's first partition needs no entry.
     starts = runs.select("hash", "part", F.sum("n").over(earlier).alias("start")).filter("start is not null")
     within = Window.partitionBy("hash", "part").orderBy("row")
-    counted = stored.withColumn("number", F.row_number().over(within) - 1).join(starts, ["hash", "part"], "left")
+    counted = stored.withColumn("number", F.row_number().over(within) - 1).join(starts.hint("merge"), ["hash", "part"], "left")
     number = F.col("number") + F.coalesce("start", F.lit(0))
     lot = F.when(number > 0, F.xxhash64("hash", number)).otherwise(F.col("hash"))
     return counted.select(*sized.columns, lot.alias("lot"))
@@ -159,7 +159,8 @@ def round_copies(sized: DataFrame, targets: DataFrame, block: int = BLOCK, seed:
     last = remaining.select("row", (uniform(F.lit(seed), F.lit(-1), F.col("hash")) < F.col("x")).alias("hit"))
     decided = last if decided is None else decided.union(last)
     decided = materialize(decided, "decided")
-    return rated.drop("lot").join(decided, "row", "left").withColumn(
+    # Rows, not sources: by hint neither these nor the hashes taken in ``mix`` are broadcast.
+    return rated.drop("lot").join(decided.hint("merge"), "row", "left").withColumn(
         "copies", F.col("whole") + F.coalesce(F.col("hit").cast("long"), F.lit(0))
     )
 
@@ -194,5 +195,5 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str
     # The rank filter also runs before the shuffle, so each task sends such a row once.
     alike = Window.partitionBy(own).orderBy(F.lit(0))
     once = tagged.withColumn(copy, F.row_number().over(alike)).filter(F.col(copy) == 1)
-    repeated = once.join(taken, own).withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.col(number))))
+    repeated = once.join(taken.hint("merge"), own).withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.col(number))))
     return repeated.drop(own, number, copy)
