@@ -5,11 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml import Model
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import SparseVector
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor, LinearRegression, LinearRegressionModel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -26,7 +29,8 @@ from verdigris.operators.mlprep import (
     standard_stats,
 )
 from verdigris.operators.moments import rows_with_moments, window_moments
-from verdigris.operators.sequences import inference_windows, sequence_windows, window_weight
+from verdigris.operators.ordering import in_chunks
+from verdigris.operators.sequences import inference_row, inference_windows, sequence_windows, window_weight
 
 
 # Training defaults.
@@ -230,31 +234,31 @@ def _window_vector(windows: Column) -> Column:
     return array_to_vector(F.flatten(windows).cast("array<double>"))
 
 
-def train_forecaster(
-    numbered: DataFrame,
-    columns: Sequence[str],
-    total: int,
-    params: SequenceParams = SequenceParams(),
-    share: float = 0.8,
-) -> tuple[SequenceModel, DataFrame]:
-    """Direct autoregression on flattened windows; the first ``share`` of the samples train.
+@dataclass
+class WindowStatistics:
+    """What a forecast is fitted from: scaling statistics and moments of the training windows."""
 
-    The fit needs the mean and covariance of the windows only, which come from lagged products
-    of the scaled rows: no training window is built. Returns the model and the scored test samples (``actual``,
-    ``predicted`` in original units). ``numbered`` must have no gaps.
-    """
-    inputs = [n for n in columns if n != params.target]
-    samples = total - params.length
+    stats: dict[str, float]
+    scaled_rows: DataFrame
+    train_windows: int
+    mean: np.ndarray
+    covariance: np.ndarray
+
+
+def window_statistics(
+    numbered: DataFrame, columns: Sequence[str], total: int, length: int, target: str, share: float = 0.8
+) -> WindowStatistics:
+    """Statistics of the first ``share`` of the windows; penalties do not change them."""
+    inputs = [n for n in columns if n != target]
+    samples = total - length
     train_windows = int(max(samples, 0) * share)
     if train_windows < 1:
         raise ValueError("the series is too short for one training window")
     position = F.col("position")
-    weight = window_weight(position, train_windows, params.length)
+    weight = window_weight(position, train_windows, length)
     x_stats = standard_stats(numbered.filter(weight > 0), inputs, weight)
-    is_goal = position.between(params.length, params.length + train_windows - 1)
-    y_stats = standard_stats(
-        numbered.filter(is_goal).select(F.col(params.target).alias("y")), ["y"]
-    )
+    is_goal = position.between(length, length + train_windows - 1)
+    y_stats = standard_stats(numbered.filter(is_goal).select(F.col(target).alias("y")), ["y"])
     # Two rows of statistics: their size depends on the column count only.
     stats = {**x_stats.first().asDict(), **y_stats.first().asDict()}
     stats = {name: (value if value is not None else 0.0) for name, value in stats.items()}
@@ -263,12 +267,34 @@ def train_forecaster(
         std = stats[f"std_{n}"] or 1.0
         scaled[n] = (F.col(n).cast("double") - F.lit(stats[f"mean_{n}"])) / F.lit(std)
     y_std = stats["std_y"] or 1.0
-    scaled[params.target] = (F.col(params.target) - F.lit(stats["mean_y"])) / F.lit(y_std)
+    scaled[target] = (F.col(target) - F.lit(stats["mean_y"])) / F.lit(y_std)
     scaled_rows = numbered.withColumns(scaled)
-    moments = window_moments(scaled_rows, inputs, params.target, params.length, train_windows)
-    alike = rows_with_moments(numbered.sparkSession, *moments)
+    moments = window_moments(scaled_rows, inputs, target, length, train_windows)
+    return WindowStatistics(stats, scaled_rows, train_windows, *moments)
+
+
+def train_forecaster(
+    numbered: DataFrame,
+    columns: Sequence[str],
+    total: int,
+    params: SequenceParams = SequenceParams(),
+    share: float = 0.8,
+    statistics: WindowStatistics | None = None,
+) -> tuple[SequenceModel, DataFrame]:
+    """Direct autoregression on flattened windows; the first ``share`` of the samples train.
+
+    The fit needs the mean and covariance of the windows only, which come from lagged products
+    of the scaled rows: no training window is built. Returns the model and the scored test samples (``actual``,
+    ``predicted`` in original units). ``numbered`` must have no gaps. ``statistics`` of the same rows,
+    columns, length, target and share may be passed, so that several fits share one pass.
+    """
+    inputs = [n for n in columns if n != params.target]
+    position = F.col("position")
+    found = statistics or window_statistics(numbered, columns, total, params.length, params.target, share)
+    stats = found.stats
+    alike = rows_with_moments(numbered.sparkSession, found.mean, found.covariance)
     windows = sequence_windows(
-        scaled_rows.filter(position >= train_windows), [*inputs, params.target], params.length, params.target
+        found.scaled_rows.filter(position >= found.train_windows), [*inputs, params.target], params.length, params.target
     ).select("sample", _window_vector(F.col("x")).alias("features"), "y")
     learner = LinearRegression(
         featuresCol="features",
@@ -319,6 +345,72 @@ def ensemble_average(*predictions: Column) -> Column:
     return total / len(predictions)
 
 
+def _step_sums(row: Column, models: Sequence[SequenceModel], stats: dict[str, float] | None) -> Column:
+    """What a row adds to each linear forecast at each step of a window: models by steps, flattened."""
+    parts = []
+    for model in models:
+        used = stats or model.stats
+        found = model.model.coefficients
+        weights = np.array(found.toArray(), np.float64).reshape(model.length, len(model.features)).T
+        means = np.array([float(used[f"mean_{n}"]) for n in model.features])
+        spreads = np.array([float(used[f"std_{n}"]) or 1.0 for n in model.features])
+        # A sparse vector skips its zeros: there a value that is not finite has no effect.
+        skipped = (weights == 0) & isinstance(found, SparseVector)
+        parts.append((weights, means, spreads, skipped))
+
+    inputs, wide = len(models[0].features), sum(p[0].shape[1] for p in parts)
+
+    # Arrow arrays keep what is not a number apart from null.
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            rows = batch.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(batch), inputs)
+            sums = []
+            with np.errstate(all="ignore"):
+                for weights, means, spreads, skipped in parts:
+                    scaled = (rows - means) / spreads
+                    added = scaled @ weights
+                    for i in np.flatnonzero(~np.isfinite(scaled).all(axis=1)):
+                        added[i] = np.where(skipped, 0.0, scaled[i][:, None] * weights).sum(axis=0)
+                    sums.append(added)
+            ends = np.arange(0, len(batch) * wide + 1, wide, dtype=np.int32)
+            yield pa.ListArray.from_arrays(ends, np.concatenate(sums, axis=1).ravel())
+
+    return F.arrow_udf(run, "array<double>")(row)
+
+
+def _total(terms: Sequence[Column]) -> Column:
+    """Sum of the terms, in pairs, so that the expression stays shallow."""
+    while len(terms) > 1:
+        terms = [a + b for a, b in zip(terms[::2], terms[1::2])] + list(terms[len(terms) // 2 * 2 :])
+    return terms[0]
+
+
+def _forecast_linear(
+    scored: DataFrame, kept: Sequence[str], sequence: Mapping[str, SequenceModel], stats: dict[str, float] | None
+) -> DataFrame:
+    """``kept`` and the forecasts of linear models, without building a window.
+
+    A forecast is a sum over the window's rows. Each row is scaled and multiplied by the weights of
+    all steps once, and a window adds up one number of each of its rows, where a window of rows
+    would scale and multiply every row ``length`` times.
+    """
+    models = list(sequence.values())
+    length = models[0].length
+    slim = scored.select("position", *kept, _step_sums(inference_row(models[0].features), models, stats).alias("_sums"))
+
+    def frames(window):
+        def forecast(number: int, model: SequenceModel) -> Column:
+            own = [F.lag(F.col("_sums")[number * length + k], length - k).over(window) for k in range(length)]
+            z = _total(own) + F.lit(float(model.model.intercept))
+            return inverse_standard(z, F.lit(model.stats["mean_y"]), F.lit(model.stats["std_y"]))
+
+        found = [forecast(i, m).alias(name) for i, (name, m) in enumerate(sequence.items())]
+        return [*found, F.lag("position", length).over(window).alias("_first")]
+
+    framed = in_chunks(slim, frames, length)
+    return framed.filter("_first is not null").select(*kept, *sequence)
+
+
 def score_batch(
     features: DataFrame,
     tabular: TabularModel,
@@ -341,12 +433,16 @@ def score_batch(
         stats = batch_statistics(features, first.features, first.length, features.count())
     scored = tabular.score(features, tabular_output)
     kept = [n for n in scored.columns if n != "position"]
-    # One window per row serves all sequence models; it stays on the row it predicts.
-    scored = inference_windows(scored, first.features, first.length, keep=kept)
-    for name, model in sequence.items():
-        scored = model.predict(scored, name, stats)
+    if all(isinstance(m.model, LinearRegressionModel) for m in specs):
+        scored = _forecast_linear(scored, kept, sequence, stats)
+    else:
+        # One window per row serves all sequence models; it stays on the row it predicts.
+        scored = inference_windows(scored, first.features, first.length, keep=kept)
+        for name, model in sequence.items():
+            scored = model.predict(scored, name, stats)
+        scored = scored.drop("x", "sample")
     outputs = [*sequence, tabular_output]
-    return scored.drop("x", "sample").withColumns(
+    return scored.withColumns(
         {
             "ensemble_avg": ensemble_average(*[F.col(n) for n in outputs]),
             "inference_timestamp": F.current_timestamp(),

@@ -73,6 +73,11 @@ def sequence_windows(
     )
 
 
+def inference_row(inputs: Sequence[str]) -> Column:
+    """A row's inputs as 32-bit values with gaps set to 0."""
+    return F.array(*[F.coalesce(F.col(n).cast("float"), F.lit(0).cast("float")) for n in inputs])
+
+
 def inference_windows(
     numbered: DataFrame,
     inputs: Sequence[str],
@@ -87,8 +92,7 @@ def inference_windows(
     N rows give N - length windows. Each stays on the row it predicts, so scoring
     needs no join back; ``sample`` is the position of its first row.
     """
-    row = F.array(*[F.coalesce(F.col(n).cast("float"), F.lit(0).cast("float")) for n in inputs])
-    slim = numbered.select(position, *partition_by, *keep, row.alias("_x"))
+    slim = numbered.select(position, *partition_by, *keep, inference_row(inputs).alias("_x"))
 
     def frames(window):
         return [F.collect_list("_x").over(window.rowsBetween(-length, -1)).alias("x")]

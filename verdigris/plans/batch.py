@@ -23,6 +23,7 @@ from verdigris.operators.models import (
     score_batch,
     train_forecaster,
     train_trees,
+    window_statistics,
 )
 from verdigris.operators.semantic import (
     daily_environment_metrics,
@@ -192,9 +193,13 @@ def train_models(
     total = features.count()
     model, _ = train_trees(features, params=trees)
     save_model(features.sparkSession, model, lake.path("models", "lightgbm_prediction"))
-    forecasts = {}
+    # Fits that differ in penalties only share the pass over the rows.
+    forecasts, shared = {}, {}
     for name, params in (sequences or DEFAULT_SEQUENCES).items():
-        forecasts[name], _ = train_forecaster(features, inputs, total, params)
+        kind = params.length, params.target
+        if kind not in shared:
+            shared[kind] = window_statistics(features, inputs, total, *kind)
+        forecasts[name], _ = train_forecaster(features, inputs, total, params, statistics=shared[kind])
         save_model(features.sparkSession, forecasts[name], lake.path("models", name))
     return model, forecasts
 
