@@ -19,10 +19,6 @@ Both rounds run on distinct fingerprints; copies only meet their fingerprint. A
 of equal texts is therefore one row, and rows meet their component in a join that adaptive
 execution can split.
 
-Every join is a sort-merge join by hint. Spark sizes a side by its files, and an ``explode``
-only by its wider rows: 66 variants of a small table were taken for less than the broadcast
-limit and collected on the driver.
-
 Defined cases: a null, empty or blank text has fingerprint zero, linked like any other; a
 text shorter than a shingle is one shingle; rows without id are linked and get the smallest
 id of their component, null if it has none; repeated rows share their component.
@@ -94,7 +90,7 @@ def _bit(i: int) -> int:
 def _far_links(points: DataFrame, roots: DataFrame) -> DataFrame:
     """Links between components of the first round by fingerprints at 3 or fewer bits."""
     # Null stands for a fingerprint that is its own root.
-    placed = points.join(roots.hint("merge"), points["fp"] == roots["node"], "left").select("fp", "root")
+    placed = points.join(roots, points["fp"] == roots["node"], "left").select("fp", "root")
     placed = materialize(placed, "placed")
     low = F.col("fp").bitwiseAND(F.lit((1 << HALF) - 1))
     high = F.shiftrightunsigned("fp", HALF)
@@ -110,6 +106,8 @@ def _far_links(points: DataFrame, roots: DataFrame) -> DataFrame:
     variants = placed.select("fp", "root", F.explode(around).alias("half")).alias("y")
     x_root, y_root = F.coalesce("x.root", "x.fp"), F.coalesce("y.root", "y.fp")
     close = F.bit_count(F.col("x.fp").bitwiseXOR(F.col("y.fp"))) <= RADIUS
+    # Spark sizes an exploded side by its wider rows only: 66 variants of a small table were taken for
+    # less than the broadcast limit and collected on the driver.
     met = centres.join(variants.hint("merge"), (F.col("x.half") == F.col("y.half")) & (x_root > y_root) & close)
     return met.select(x_root.alias("a"), y_root.alias("b")).distinct()
 
@@ -134,17 +132,17 @@ def _grouped(slim: DataFrame, radius: int) -> tuple[DataFrame, DataFrame]:
     points = materialize(slim.groupBy("fp").agg(F.min("who").alias("best")), "points")
     linked = fingerprint_components(points.select("fp"), radius)
     whole = linked.union(linked.select(F.col("root").alias("fp"), "root").distinct())
-    members = materialize(whole.join(points.hint("merge"), "fp").select("fp", "root", "best"), "members")
+    members = materialize(whole.join(points, "fp").select("fp", "root", "best"), "members")
     smallest = materialize(members.groupBy("root").agg(F.min("best").alias("best")), "smallest")
-    return points, members.select("fp", "root").join(smallest.hint("merge"), "root").select("fp", "best")
+    return points, members.select("fp", "root").join(smallest, "root").select("fp", "best")
 
 
 def _with_best(slim: DataFrame, radius: int) -> DataFrame:
     points, linked = _grouped(slim, radius)
-    chosen = points.join(linked.withColumnRenamed("best", "linked").hint("merge"), "fp", "left").select(
+    chosen = points.join(linked.withColumnRenamed("best", "linked"), "fp", "left").select(
         "fp", F.coalesce("linked", "best").alias("best")
     )
-    return slim.join(materialize(chosen, "chosen").hint("merge"), "fp")
+    return slim.join(materialize(chosen, "chosen"), "fp")
 
 
 def _who(*columns):
@@ -181,7 +179,7 @@ def keep_one(
     slim = materialize(slim.withColumn("who", _who(F.col("doc_id"), F.col("hash"))), "fingerprints")
     points, linked = _grouped(slim, radius)
     kept = (
-        points.join(linked.withColumnRenamed("best", "linked").hint("merge"), "fp", "left")
+        points.join(linked.withColumnRenamed("best", "linked"), "fp", "left")
         .filter("linked is null or linked = best")
         .select(_name(F.col("best.doc_id")).alias(name), F.col("best.hash").alias(row_hash))
     )
@@ -191,4 +189,4 @@ def keep_one(
     alike = Window.partitionBy(name, row_hash).orderBy(F.lit(0))
     tagged = docs.withColumns({row_hash: content, name: _name(F.col(key))})
     once = tagged.withColumn(place, F.row_number().over(alike)).filter(F.col(place) == 1)
-    return once.join(kept.hint("merge"), [name, row_hash], "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return once.join(kept, [name, row_hash], "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
